@@ -2,18 +2,44 @@
 
 from __future__ import annotations
 
-from cairn.llm import exact_dedup
+from pyspark.sql import functions as F
+
+from cairn.llm import exact_dedup, kneser_ney, packing, simhash
 from cairn.sources.tables import table
 
 ASCII_LOWER = f"translate(coalesce(text, ''), '{exact_dedup.UPPER}', '{exact_dedup.LOWER}')"
 
 
+def op6_simhash(spark, sf):
+    found = simhash.near_groups(table(spark, sf, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex(F.col("signature")[0]), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def op7_packing(spark, sf):
+    import public_tokenizers
+
+    found = packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op9_exact_dedup(spark, sf):
     return exact_dedup.exact_groups(table(spark, sf, "documents"))
 
 
+def op10_kneser_ney(spark, sf):
+    docs = table(spark, sf, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    model = kneser_ney.train(docs.where(~held_out))
+    return kneser_ney.score(docs, model).withColumn("held_out", held_out)
+
+
 QUERIES = {
+    "op6_simhash": op6_simhash,
+    "op7_packing": op7_packing,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_kneser_ney": op10_kneser_ney,
 }
 
 ORACLE = {
