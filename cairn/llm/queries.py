@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cairn.llm import chat, decontaminate, exact_dedup, kneser_ney, line_dedup, packing, simhash
+from cairn.llm import chat, decontaminate, exact_dedup, kneser_ney, line_dedup, packing, simhash, token_count, toxicity
 from cairn.sources.tables import table
 
 ASCII_LOWER = f"translate(coalesce(text, ''), '{exact_dedup.UPPER}', '{exact_dedup.LOWER}')"
@@ -31,10 +31,23 @@ def op2_decontaminate(spark, sf):
     return decontaminate.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op3_toxicity(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    held_out = "coalesce(crc32(cast(cast({0} as string) as binary)) % 3 = 1, false)"
+    model = toxicity.train(docs, labels, ~F.expr(held_out.format("doc")))
+    return toxicity.score(docs, model).withColumn("held_out", F.expr(held_out.format("doc_id")))
+
+
 def op4_line_dedup(spark, sf):
     return line_dedup.line_dedup(table(spark, sf, "documents"))
 
 
+def op5_token_count(spark, sf):
+    import public_tokenizers
+
+    return token_count.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_simhash(spark, sf):
     found = simhash.near_groups(table(spark, sf, "documents"))
     return found.select(
@@ -63,7 +76,9 @@ def op10_kneser_ney(spark, sf):
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_decontaminate": op2_decontaminate,
+    "op3_toxicity": op3_toxicity,
     "op4_line_dedup": op4_line_dedup,
+    "op5_token_count": op5_token_count,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
     "op9_exact_dedup": op9_exact_dedup,
