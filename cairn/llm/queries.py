@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cairn.llm import chat, decontaminate, exact_dedup, kneser_ney, line_dedup, packing, simhash, token_count, toxicity
+from cairn.llm import chat, decontaminate, exact_dedup, html_extract, kneser_ney, line_dedup, packing, simhash, token_count, toxicity
 from cairn.sources.tables import table
 
 ASCII_LOWER = f"translate(coalesce(text, ''), '{exact_dedup.UPPER}', '{exact_dedup.LOWER}')"
@@ -31,11 +31,15 @@ def op2_decontaminate(spark, sf):
     return decontaminate.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def learnable(doc):
+    """SQL of the rows whose labels may be learnt from; a null id is one of them."""
+    return f"not coalesce(crc32(cast(cast({doc} as string) as binary)) % 3 = 1, false)"
+
+
 def op3_toxicity(spark, sf):
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
-    held_out = "coalesce(crc32(cast(cast({0} as string) as binary)) % 3 = 1, false)"
-    model = toxicity.train(docs, labels, ~F.expr(held_out.format("doc")))
-    return toxicity.score(docs, model).withColumn("held_out", F.expr(held_out.format("doc_id")))
+    model = toxicity.train(docs, labels, F.expr(learnable("doc")))
+    return toxicity.score(docs, model).withColumn("held_out", ~F.expr(learnable("doc_id")))
 
 
 def op4_line_dedup(spark, sf):
@@ -62,6 +66,11 @@ def op7_packing(spark, sf):
     return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op8_html_extract(spark, sf):
+    found = html_extract.extract(table(spark, sf, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_exact_dedup(spark, sf):
     return exact_dedup.exact_groups(table(spark, sf, "documents"))
 
@@ -81,6 +90,7 @@ QUERIES = {
     "op5_token_count": op5_token_count,
     "op6_simhash": op6_simhash,
     "op7_packing": op7_packing,
+    "op8_html_extract": op8_html_extract,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_kneser_ney": op10_kneser_ney,
 }
