@@ -161,7 +161,11 @@ def train(
     draw = F.xxhash64(F.lit(settings.seed), "doc")
 
     def sample(rows: DataFrame, n: int) -> list[set[str]]:
-        return [text_features(r["raw"]) for r in rows.orderBy(draw, "doc").limit(n).select("raw").toLocalIterator()]
+        """Of the rows with the smallest draws; only numbers are ordered, and texts are read for the drawn rows alone."""
+        last = rows.select(draw.alias("draw")).orderBy("draw").limit(n).agg(F.max("draw").alias("draw")).first()["draw"]
+        if last is None:
+            return []
+        return [text_features(r["raw"]) for r in rows.where(draw <= last).limit(n).select("raw").toLocalIterator()]
 
     toxic = base.join(marks.where("mark = 1").select("doc"), "doc", "left_semi")
     return fit(sample(toxic, settings.toxic_rows), sample(base, settings.unlabelled_rows), share, settings)
