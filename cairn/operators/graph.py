@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.session import Workspace
@@ -64,3 +64,125 @@ def connected_components(
     return vertices.join(current.select(F.col("u").alias("node"), F.col("v").alias("low")), "node", "left").select(
         "node", F.coalesce("low", "node").alias("component")
     )
+
+
+def undirected(edges: DataFrame, *, src: str = "src", dst: str = "dst") -> DataFrame:
+    """Each linked pair once in each direction, without self loops."""
+    a = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where("src <> dst")
+    return a.union(a.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
+
+
+def degrees(edges: DataFrame, *, src: str = "src", dst: str = "dst") -> DataFrame:
+    """Distinct neighbours of every vertex, whatever the direction."""
+    return undirected(edges, src=src, dst=dst).groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
+
+
+def neighbours(edges: DataFrame, starts: DataFrame, depth: int, *, src: str = "src", dst: str = "dst") -> DataFrame:
+    """Vertices within ``depth`` links of each start: ``start``, ``node``, ``distance``; a start is not its own neighbour.
+
+    ``starts`` is a one-column table. Each step joins the last frontier only, so a vertex is expanded once by start.
+    """
+    links = undirected(edges, src=src, dst=dst).persist()
+    try:
+        first = starts.select(F.col(starts.columns[0]).alias("start")).distinct()
+        work = Workspace(edges.sparkSession, "neighbours")
+        seen = work.save(first.select("start", F.col("start").alias("node"), F.lit(0).alias("distance")), "seen")
+        for step in range(1, depth + 1):
+            frontier = seen.where(F.col("distance") == step - 1).withColumnRenamed("node", "src")
+            found = frontier.join(links, "src").select("start", F.col("dst").alias("node")).distinct()
+            found = found.join(seen.select("start", "node"), ["start", "node"], "left_anti")
+            seen = work.save(seen.unionByName(found.withColumn("distance", F.lit(step))), "seen")
+        return seen.where("distance > 0")
+    finally:
+        links.unpersist()
+
+
+def strong_components(edges: DataFrame, *, src: str = "src", dst: str = "dst", max_rounds: int = 100) -> DataFrame:
+    """Label every vertex with the smallest id of its strongly connected component: ``node``, ``component``.
+
+    Rounds of colouring: every open vertex takes the smallest id that reaches it; within a colour, what reaches its
+    root backwards is the root's component and is closed. Edges between colours go. Every round is written.
+    """
+    spark = edges.sparkSession
+    work = Workspace(spark, "strong")
+    live = work.save(edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null").distinct(), "edges")
+    open_ = work.save(live.select(F.col("u").alias("node")).union(live.select("v")).distinct(), "vertices")
+    done = []
+    for _ in range(max_rounds):
+        if open_.isEmpty():
+            break
+        colour = open_.select("node", F.col("node").alias("c"))
+        colour = _settle(work, colour, lambda c: live.join(c, F.col("u") == F.col("node")).select(F.col("v").alias("node"), "c"))
+        inside = live.join(colour.select(F.col("node").alias("u"), F.col("c").alias("cu")), "u").join(colour.select(F.col("node").alias("v"), F.col("c").alias("cv")), "v")
+        live = work.save(inside.where("cu = cv").select("u", "v"), "edges")
+        reach = work.save(colour.where("node = c"), "reach")
+        while True:
+            more = live.join(reach.select(F.col("node").alias("v"), "c"), "v").select(F.col("u").alias("node"), "c").distinct()
+            more = work.save(more.join(reach, "node", "left_anti"), "more")
+            if more.isEmpty():
+                break
+            reach = work.save(reach.union(more), "reach")
+        done.append(reach.select("node", F.col("c").alias("component")))
+        open_ = work.save(open_.join(reach, "node", "left_anti"), "vertices")
+        keep_u, keep_v = open_.select(F.col("node").alias("u")), open_.select(F.col("node").alias("v"))
+        live = work.save(live.join(keep_u, "u", "left_semi").join(keep_v, "v", "left_semi").select("u", "v"), "edges")
+    else:
+        raise RuntimeError(f"strong components did not settle in {max_rounds} rounds")
+    if not done:
+        return open_.select("node", F.col("node").alias("component"))
+    found = done[0]
+    for part in done[1:]:
+        found = found.union(part)
+    return found
+
+
+def _settle(work: Workspace, labels: DataFrame, step) -> DataFrame:
+    """Take the smallest label that a step offers, until no label changes."""
+    labels = work.save(labels, "labels")
+    while True:
+        offered = step(labels).groupBy("node").agg(F.min("c").alias("offer"))
+        new = labels.join(offered, "node", "left").select("node", F.least("c", F.coalesce("offer", "c")).alias("new"), "c")
+        new = work.save(new, "labels")
+        changed = not new.where("new <> c").isEmpty()
+        labels = new.select("node", F.col("new").alias("c"))
+        if not changed:
+            return labels
+
+
+def communities(edges: DataFrame, *, src: str = "src", dst: str = "dst", weight: str | None = None, rounds: int = 8) -> DataFrame:
+    """Communities by synchronous label propagation: ``node``, ``community``.
+
+    Each round a vertex takes the label with the largest total weight among its neighbours and, at a small weight,
+    itself; of equal ones the smallest. The result is the same for the same edges.
+    """
+    spark = edges.sparkSession
+    work = Workspace(spark, "communities")
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    one = edges.select(F.col(src).alias("u"), F.col(dst).alias("v"), w.alias("w")).where("u <> v")
+    both = one.union(one.select(F.col("v").alias("u"), F.col("u").alias("v"), "w")).groupBy("u", "v").agg(F.max("w").alias("w"))
+    both = work.save(both, "edges")
+    labels = work.save(both.select(F.col("u").alias("node"), F.col("u").alias("c")).distinct(), "labels")
+    for _ in range(rounds):
+        votes = both.join(labels.select(F.col("node").alias("v"), "c"), "v").select(F.col("u").alias("node"), "c", "w")
+        votes = votes.union(labels.select("node", "c", F.lit(1e-3))).groupBy("node", "c").agg(F.round(F.sum("w"), 9).alias("w"))
+        best = votes.groupBy("node").agg(F.max(F.struct(F.col("w"), (-F.col("c")).alias("c")))["c"].alias("c")).select("node", (-F.col("c")).alias("c"))
+        new = work.save(best, "labels")
+        if new.join(labels.withColumnRenamed("c", "old"), "node").where("c <> old").isEmpty():
+            break
+        labels = new
+    return labels.select("node", F.col("c").alias("community"))
+
+
+def ranked_labels(components: DataFrame, nodes: DataFrame | None = None, *, node: str = "node", component: str = "component") -> DataFrame:
+    """Labels c0, c1, … by size, the largest first, of equal ones the one with the smallest member; ``node``, ``label``.
+
+    Ids of ``nodes`` (one column) that no component has are components of their own. Only a row by component is ordered.
+    """
+    found = components.select(F.col(node).alias("node"), F.col(component).alias("component"))
+    if nodes is not None:
+        alone = nodes.select(F.col(nodes.columns[0]).alias("node")).distinct().join(found.select("node"), "node", "left_anti")
+        found = found.union(alone.select("node", F.col("node").alias("component")))
+    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"))
+    rank = F.row_number().over(Window.orderBy(F.desc("n"), "low")) - 1
+    names = sizes.select("component", F.concat(F.lit("c"), rank.cast("string")).alias("label"), "n")
+    return found.join(names, "component").select("node", "label", F.col("n").alias("size"))
