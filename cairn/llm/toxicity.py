@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,21 +41,37 @@ class Settings:
     seed: int = 17
 
 
-def features(word: str) -> list[str]:
-    return [word, *(f"{word[:k]}*" for k in BEGINNINGS if len(word) > k)]
+class Features(dict):
+    """Feature numbers of words, remembered: hashes of the word and of its beginnings, of those in ``only`` if it is given."""
 
+    def __init__(self, only: frozenset[int] | None = None):
+        self.only = only
 
-def text_features(text: str | None) -> set[str]:
-    return {f for w in set(LETTERS.findall((text or "").lower())) for f in features(w)}
+    def __missing__(self, word: str) -> list[int]:
+        names = [word, *(f"{word[:k]}*" for k in BEGINNINGS if len(word) > k)]
+        found = [xxhash.xxh3_64_intdigest(n) for n in names]
+        if self.only is not None:
+            found = [f for f in found if f in self.only]
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = found
+        return found
+
+    def of(self, text: str | None) -> set[int]:
+        return {f for w in set(LETTERS.findall((text or "").lower())) for f in self[w]}
+
+
+def _packed(found: set[int]) -> np.ndarray:
+    return np.sort(np.fromiter(found, np.uint64, len(found)))
 
 
 @dataclass
 class Model:
-    weights: dict[str, float]
+    weights: dict[int, float]
     bias: float
 
-    def score(self, found: set[str]) -> float:
-        z = self.bias + sum(self.weights[f] for f in found)
+    def score(self, found: set[int]) -> float:
+        z = self.bias + sum(self.weights[f] for f in sorted(found))
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
@@ -98,44 +115,43 @@ def _descend(
     return w, b
 
 
-def fit(toxic: list[set[str]], unlabelled: list[set[str]], prior: float, settings: Settings = Settings()) -> Model:
+def fit(toxic: Iterable[str | None], unlabelled: Iterable[str | None], prior: float, settings: Settings = Settings()) -> Model:
     """Fit by full-batch proximal Adam on the non-negative risk with logistic loss.
 
-    Without toxic or unlabelled texts, or with no feature of enough toxic texts, every score is the prior.
+    Without toxic or unlabelled texts, or with no feature of enough toxic texts, every score is the prior. Of the
+    texts no more is held than the numbers of their features, of the unlabelled ones those that toxic ones have.
     """
     prior = min(max(prior, 1e-4), 0.9)
     flat = Model({}, float(np.log(prior / (1 - prior))))
-    if not toxic or not unlabelled:
+    numbers = Features()
+    known = [_packed(numbers.of(t)) for t in toxic]
+    if not known:
         return flat
-    in_toxic: dict[str, int] = {}
-    for found in toxic:
-        for f in found:
-            in_toxic[f] = in_toxic.get(f, 0) + 1
-    in_toxic = {f: n for f, n in in_toxic.items() if n >= settings.least}
-    in_all = dict.fromkeys(in_toxic, 0)
-    for found in unlabelled:
-        for f in found & in_toxic.keys():
-            in_all[f] += 1
-    # Most telling first: by how far the share among toxic texts exceeds that among all, in standard errors.
-    p = np.fromiter(in_toxic.values(), float) / len(toxic)
-    u = (np.fromiter(in_all.values(), float) + 0.5) / (len(unlabelled) + 1)
-    gap = (p - u) / np.sqrt(u * (1 - np.minimum(u, 0.999)) / len(toxic))
-    names = np.array(list(in_toxic), dtype=object)
-    best = np.lexsort((names.astype(str), -gap))[: settings.features]
-    names = names[best]
-    if not len(names):
+    names, in_toxic = np.unique(np.concatenate(known), return_counts=True)
+    names, in_toxic = names[in_toxic >= settings.least], in_toxic[in_toxic >= settings.least]
+    wanted = Features(frozenset(names.tolist()))
+    other = [_packed(wanted.of(t)) for t in unlabelled]
+    if not other or not len(names):
         return flat
-    column = {f: i for i, f in enumerate(names)}
-
-    def matrix(texts: list[set[str]]) -> tuple[np.ndarray, np.ndarray]:
-        rows = [np.array(sorted(column[f] for f in found & column.keys()), np.int64) for found in texts]
-        return np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-
-    toxic_side, all_side = ((*matrix(texts), len(texts)) for texts in (toxic, unlabelled))
+    in_all = np.bincount(np.searchsorted(names, np.concatenate(other)), minlength=len(names))
+    # Most telling first: by how far the share among toxic texts exceeds that among all, in standard errors.
+    p, u = in_toxic / len(known), (in_all + 0.5) / (len(other) + 1)
+    gap = (p - u) / np.sqrt(u * (1 - np.minimum(u, 0.999)) / len(known))
+    names = np.sort(names[np.lexsort((names, -gap))[: settings.features]])
+
+    def matrix(texts: list[np.ndarray]) -> Side:
+        rows = []
+        for found in texts:
+            at = np.searchsorted(names, found)
+            at[at == len(names)] = 0
+            rows.append(at[names[at] == found])
+        return np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows]), len(rows)
+
+    toxic_side, all_side = matrix(known), matrix(other)
     w, b = _descend(toxic_side, all_side, np.zeros(len(names)), flat.bias, prior, settings, settings.steps, settings.penalty)
     # The penalty has chosen the features; their weights are then fitted without it.
     w, b = _descend(toxic_side, all_side, w, b, prior, settings, settings.refit_steps, 0.0)
-    return Model({f: float(x) for f, x in zip(names, w) if x}, b)
+    return Model({int(f): float(x) for f, x in zip(names, w) if x}, b)
 
 
 def train(
@@ -160,41 +176,24 @@ def train(
     base = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("raw")).where(usable)
     draw = F.xxhash64(F.lit(settings.seed), "doc")
 
-    def sample(rows: DataFrame, n: int) -> list[set[str]]:
+    def sample(rows: DataFrame, n: int) -> Iterator[str | None]:
         """Of the rows with the smallest draws; only numbers are ordered, and texts are read for the drawn rows alone."""
         last = rows.select(draw.alias("draw")).orderBy("draw").limit(n).agg(F.max("draw").alias("draw")).first()["draw"]
-        if last is None:
-            return []
-        return [text_features(r["raw"]) for r in rows.where(draw <= last).limit(n).select("raw").toLocalIterator()]
+        if last is not None:
+            for row in rows.where(draw <= last).limit(n).select("raw").toLocalIterator():
+                yield row["raw"]
 
     toxic = base.join(marks.where("mark = 1").select("doc"), "doc", "left_semi")
     return fit(sample(toxic, settings.toxic_rows), sample(base, settings.unlabelled_rows), share, settings)
 
 
-class _Words(dict):
-    """The model's features of each word."""
-
-    def __init__(self, weights: dict[str, float]):
-        self.weights = weights
-
-    def __missing__(self, word: str) -> list[str]:
-        found = [f for f in features(word) if f in self.weights]
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = found
-        return found
-
-
 def _score(model: Model):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(model.weights)
+        words = Features(frozenset(model.weights))
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 part = batch.slice(at, ROWS)
-                scores = [
-                    model.score({f for w in set(LETTERS.findall((t or "").lower())) for f in words[w]})
-                    for t in part["raw"].to_pylist()
-                ]
+                scores = [model.score(words.of(t)) for t in part["raw"].to_pylist()]
                 yield pa.RecordBatch.from_arrays([part["doc"], pa.array(scores, pa.float64())], names=["doc", "score"])
 
     return run
