@@ -18,6 +18,8 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no text of the page.
 SKIPPED = frozenset("script style template noscript iframe object svg math canvas head title textarea select datalist audio video".split())
+#: Of these nothing is shown, not even a space.
+UNSEEN = frozenset("script style template noscript head title".split())
 #: Of these the content is not read as markup.
 RAW = frozenset("script style textarea title iframe noscript".split())
 INLINE = frozenset(
@@ -134,7 +136,8 @@ def parse(source: str) -> list[Node]:
                 close(at)
             continue
         if tag in SKIPPED:
-            pieces.append((" ", False))
+            if tag not in UNSEEN:
+                pieces.append((" ", False))
             nodes[owner()].inputs += tag in ("textarea", "select")
             if not m["attrs"].rstrip().endswith("/"):
                 if tag in RAW:

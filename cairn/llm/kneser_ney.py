@@ -232,6 +232,8 @@ class Model:
 
     def by_id(self, name: str, ids: np.ndarray) -> np.ndarray:
         out, folder = np.ones(len(ids)), Folder(self.pages)
+        if not len(self.vocabulary):
+            return out
         page = ids // PAGE
         for number in np.unique(page[ids >= 0]).tolist():
             at = np.flatnonzero((page == number) & (ids >= 0))

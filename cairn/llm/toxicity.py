@@ -28,7 +28,8 @@ BEGINNINGS, REMEMBERED, ROWS = (4, 5, 6, 7, 8), 200_000, 256
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of the sample and of the fit. A feature is tried if ``least`` toxic texts have it."""
+    """Bounds of the sample and of the fit. A feature is tried if ``least`` toxic texts have it. The steps end
+    before the weights have grown out, so the outputs are sharpened before the prior sets their bias."""
 
     toxic_rows: int = 3000
     unlabelled_rows: int = 9000
@@ -38,6 +39,7 @@ class Settings:
     refit_steps: int = 80
     rate: float = 0.05
     penalty: float = 2e-4
+    sharpen: float = 2.0
     seed: int = 17
 
 
@@ -115,8 +117,20 @@ def _descend(
     return w, b
 
 
+def _prior_shift(z: np.ndarray, prior: float) -> float:
+    """What to add to the outputs of unlabelled texts so that their mean score is the class prior."""
+    low, high = -30.0, 30.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        if _sigmoid(z + middle).mean() < prior:
+            low = middle
+        else:
+            high = middle
+    return (low + high) / 2
+
+
 def fit(toxic: Iterable[str | None], unlabelled: Iterable[str | None], prior: float, settings: Settings = Settings()) -> Model:
-    """Fit by full-batch proximal Adam on the non-negative risk with logistic loss.
+    """Fit by full-batch proximal Adam on the non-negative risk with logistic loss, then set the bias by the prior.
 
     Without toxic or unlabelled texts, or with no feature of enough toxic texts, every score is the prior. Of the
     texts no more is held than the numbers of their features, of the unlabelled ones those that toxic ones have.
@@ -151,6 +165,8 @@ def fit(toxic: Iterable[str | None], unlabelled: Iterable[str | None], prior: fl
     w, b = _descend(toxic_side, all_side, np.zeros(len(names)), flat.bias, prior, settings, settings.steps, settings.penalty)
     # The penalty has chosen the features; their weights are then fitted without it.
     w, b = _descend(toxic_side, all_side, w, b, prior, settings, settings.refit_steps, 0.0)
+    w, b = settings.sharpen * w, settings.sharpen * b
+    b += _prior_shift(np.bincount(all_side[1], w[all_side[0]], all_side[2]) + b, prior)
     return Model({int(f): float(x) for f, x in zip(names, w) if x}, b)
 
 
