@@ -516,10 +516,10 @@ def unit_scale(spark, sf):
     return rows.groupBy("l_partkey").agg(F.round(F.median("p"), 6).alias("p"))
 
 
-@query("""select event_id, json_keys(props) as keys, len(json_keys(props)) as n_keys from events""")
+@query("""select event_id, cast(json_extract_string(props, '$.k') as integer) as k, len(json_keys(props)) as n_keys from events""")
 def json_props(spark, sf):
-    keys = F.json_object_keys("props")
-    return table(spark, sf, "events").select("event_id", keys.alias("keys"), F.size(keys).cast("long").alias("n_keys"))
+    document = F.from_json("props", "struct<k: int>")
+    return table(spark, sf, "events").select("event_id", document["k"].alias("k"), F.size(F.json_object_keys("props")).cast("long").alias("n_keys"))
 
 
 @query("""with f as (select user_id, ts, event_id, case when event_type = 'click' then event_id end as seen from events)
@@ -530,12 +530,12 @@ def fill_forward(spark, sf):
     return table(spark, sf, "events").select("event_id", F.last(seen, ignorenulls=True).over(above).alias("last_click"))
 
 
-@query("""select p_partkey, p_size < 10 and p_retailprice < 1500 as fragment, (p_size < 10 and p_retailprice < 1500) or (p_size < 25 and p_retailprice < 2500) as lipinski,
+@query("""select p_partkey, p_size < 15 and p_retailprice < 1500 as fragment, (p_size < 15 and p_retailprice < 1500) or (p_size < 25 and p_retailprice < 2500) as lipinski,
            case when p_type like '%ALL' then 'ion' when p_type like 'PROMO%' then 'artifact' when p_type like 'ECONOMY%' then 'cofactor' else 'other' end as kind
     from part""")
 def code_classify(spark, sf):
     size, price, kind = F.col("p_size"), F.col("p_retailprice"), F.col("p_type")
-    three, five = scalars.rule_class(size * 30, price / 500, F.when(size < 25, 1).otherwise(9), F.lit(1))
+    three, five = scalars.rule_class(size * 20, price / 500, F.when(size < 25, 1).otherwise(9), F.lit(1))
     label = scalars.first_true([(kind.endswith("ALL"), "ion"), (kind.startswith("PROMO"), "artifact"), (kind.startswith("ECONOMY"), "cofactor")], "other")
     return table(spark, sf, "part").select("p_partkey", three.alias("fragment"), five.alias("lipinski"), label.alias("kind"))
 
@@ -574,10 +574,10 @@ def radius_join(spark, sf):
     return near.select(F.col("l_vec_id").alias("l_id"), F.col("r_vec_id").alias("r_id"))
 
 
-@query("""with g as (select l_partkey, max(cast(l_returnflag = 'A' as int)) as a, max(cast(l_returnflag = 'N' as int)) as n, max(cast(l_returnflag = 'R' as int)) as r from lineitem group by 1)
+@query("""with g as (select l_orderkey, max(cast(l_returnflag = 'A' as int)) as a, max(cast(l_returnflag = 'N' as int)) as n, max(cast(l_returnflag = 'R' as int)) as r from lineitem group by 1)
     select a || '' || n || '' || r as region, count(*) as n from g group by 1""")
 def venn_regions(spark, sf):
-    return enrich.venn(table(spark, sf, "lineitem"), "l_partkey", "l_returnflag", ["A", "N", "R"])
+    return enrich.venn(table(spark, sf, "lineitem"), "l_orderkey", "l_returnflag", ["A", "N", "R"])
 
 
 @query("""with c as (select l_extendedprice as v, sum(cast(l_returnflag = 'R' as int)) as a, sum(cast(l_returnflag = 'N' as int)) as b from lineitem where l_returnflag in ('R', 'N') group by 1),
