@@ -16,19 +16,19 @@ def evaluated(scores: DataFrame, data: DataFrame, *, key: str, rank: str = "rank
     Of several rows of a system and rank the one with the smallest RMSD counts, then the largest lDDT.
     """
     order = F.struct(F.coalesce(rmsd, F.lit(float("inf"))).alias("r"), (-F.coalesce(lddt, F.lit(0.0))).alias("l"))
-    one = scores.groupBy(key, rank).agg(F.min_by(F.struct(rmsd, lddt), order).alias("s")).select(key, rank, "s.*")
+    one = scores.groupBy(key, rank).agg(F.min_by(F.struct(rmsd, lddt), order).alias("best row")).select(key, rank, "`best row`.*")
     one = one.join(data, key)
-    worst = one.agg(F.max(rmsd).alias("worst"))
-    one = one.join(F.broadcast(worst))
-    filled = F.coalesce(rmsd, "worst")
-    return one.withColumns({rmsd: filled, lddt: F.coalesce(lddt, F.lit(0.0))}).withColumn("success", F.col(rmsd) <= success).drop("worst")
+    worst = one.agg(F.max(rmsd).alias("worst of all"))
+    one = one.join(F.broadcast(worst))  # one row
+    filled = F.coalesce(rmsd, "worst of all")
+    return one.withColumns({rmsd: filled, lddt: F.coalesce(lddt, F.lit(0.0))}).withColumn("success", F.col(rmsd) <= success).drop("worst of all")
 
 
 def best_pose(rows: DataFrame, *, key: str, rank: str, rmsd: str, top_n: int) -> DataFrame:
     """Of each system the pose with the smallest RMSD among the first ``top_n``."""
     rest = [c for c in rows.columns if c != key]
     best = F.min_by(F.struct(*rest), F.struct(rmsd, rank))
-    return rows.where(F.col(rank) <= top_n).groupBy(key).agg(best.alias("b")).select(key, "b.*")
+    return rows.where(F.col(rank) <= top_n).groupBy(key).agg(best.alias("best row")).select(key, "`best row`.*")
 
 
 def results_table(best: DataFrame, subsets: dict[str, Column], *, key: str, rmsd: str = "rmsd", lddt: str = "lddt") -> DataFrame:

@@ -53,7 +53,7 @@ def best_match(edges: DataFrame, *, by: str = "query", other: str = "target", sc
     top = edges.groupBy(by).agg(F.max(score).alias("top score"))
     tied = edges.join(top, by).where(F.col(score) == F.col("top score")).drop("top score")
     best = F.min_by(F.struct(*[c for c in edges.columns if c != by]), F.col(other))
-    return tied.groupBy(by).agg(best.alias("best")).select(by, "best.*")
+    return tied.groupBy(by).agg(best.alias("best row")).select(by, "`best row`.*")
 
 
 def cross_similarity(edges: DataFrame, queries: DataFrame, targets: DataFrame, *, query: str = "query", target: str = "target", score: str) -> DataFrame:

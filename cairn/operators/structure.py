@@ -92,7 +92,7 @@ def common_atoms(tables: list[DataFrame], keys: list[str]) -> list[DataFrame]:
 def first_atom(atoms: DataFrame, *, by: list[str], order: str) -> DataFrame:
     """One atom by chain and residue, the first."""
     rest = [c for c in atoms.columns if c not in by]
-    return atoms.groupBy(*by).agg(F.min_by(F.struct(*rest), order).alias("a")).select(*by, "a.*")
+    return atoms.groupBy(*by).agg(F.min_by(F.struct(*rest), order).alias("first row")).select(*by, "`first row`.*")
 
 
 def resolved(atoms: DataFrame, *, by: str, residue: str) -> DataFrame:
