@@ -168,6 +168,23 @@ def add_back_novel(split: DataFrame, *, label: str = "ligand_cluster") -> DataFr
     return found.withColumn("split", F.when(novel, "test").otherwise(F.col("split"))).drop("used")
 
 
+def add_back_series(split: DataFrame, series: DataFrame, *, min_unique: int = 3) -> DataFrame:
+    """Removed systems of a matched series that the test set touches become test.
+
+    ``series`` has series, system and unique (what tells its members apart). A series counts if a test system is in
+    it and at least ``min_unique`` of its members that pass quality and are test or removed differ; of it those
+    removed members are added whose code no test system has.
+    """
+    rows = split.where("split in ('test', 'removed')").where(F.coalesce("passes_quality", F.lit(False)))
+    rows = rows.select("system", "code", "split").join(series.select("series", "system", "unique"), "system")
+    counts = rows.groupBy("series").agg(F.count_distinct("unique").alias("n"), F.max(F.col("split") == "test").alias("touched"))
+    wide = counts.where((F.col("n") >= min_unique) & F.col("touched")).select("series")
+    used = split.where("split = 'test'").select("code").distinct()
+    added = rows.where("split = 'removed'").join(wide, "series", "left_semi").join(used, "code", "left_anti")
+    added = added.select("system").distinct().withColumn("is added", F.lit(True))
+    return split.join(added, "system", "left").withColumn("split", F.when(F.col("is added"), "test").otherwise(F.col("split"))).drop("is added")
+
+
 def expand_redundant(split: DataFrame, systems: DataFrame, *, uniqueness: str = "uniqueness") -> DataFrame:
     """Every member of a redundant group whose representative is in train; of the other splits the representatives."""
     train = split.where("split = 'train'").select(uniqueness, "split").join(systems.select("system", uniqueness), uniqueness)

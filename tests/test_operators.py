@@ -186,6 +186,16 @@ def test_split_invariants(spark):
     assert not any(by[s] == "train" and rows[s][1] in entries for s in by)
 
 
+def test_add_backs(spark):
+    rows = [("t", "A", "test", True, "x"), ("r", "B", "removed", True, "y"), ("q", "A", "removed", True, "x"), ("p", "C", "removed", False, "z"), ("k", "D", "train", True, "x")]
+    table = spark.createDataFrame(rows, "system string, code string, split string, passes_quality boolean, ligand_cluster string")
+    members = [("s", k, k) for k in "trqpk"]
+    series_ = spark.createDataFrame(members, "series string, system string, unique string")
+    assert {r.system for r in split.add_back_series(table, series_).where("split = 'test'").collect()} == {"t", "r"}
+    assert {r.system for r in split.add_back_series(table, series_, min_unique=4).where("split = 'test'").collect()} == {"t"}
+    assert {r.system for r in split.add_back_novel(table).where("split = 'test'").collect()} == {"t", "r"}
+
+
 def test_evaluation(spark):
     rows = [("a", 1, 1.0, 0.9), ("a", 2, 0.5, 0.8), ("b", 1, 3.0, 0.1), ("c", 1, None, None)]
     scores = spark.createDataFrame(rows, "s string, rank int, rmsd double, lddt double")
