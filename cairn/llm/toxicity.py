@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Lengths of word beginnings that are features, besides the word; remembered words; texts at a time.
-BEGINNINGS, REMEMBERED, ROWS = (4, 5, 6, 7, 8), 200_000, 256
+BEGINNINGS, REMEMBERED, ROWS = (4, 5, 6, 7, 8), 50_000, 256
 
 
 @dataclass(frozen=True)
@@ -31,9 +31,9 @@ class Settings:
     """Bounds of the sample and of the fit. A feature is tried if ``least`` toxic texts have it. The steps end
     before the weights have grown out, so the outputs are sharpened before the prior sets their bias."""
 
-    toxic_rows: int = 3000
-    unlabelled_rows: int = 9000
-    features: int = 20_000
+    toxic_rows: int = 2000
+    unlabelled_rows: int = 6000
+    features: int = 10_000
     least: int = 3
     steps: int = 250
     refit_steps: int = 80
@@ -139,12 +139,14 @@ def fit(toxic: Iterable[str | None], unlabelled: Iterable[str | None], prior: fl
     flat = Model({}, float(np.log(prior / (1 - prior))))
     numbers = Features()
     known = [_packed(numbers.of(t)) for t in toxic]
+    numbers.clear()
     if not known:
         return flat
     names, in_toxic = np.unique(np.concatenate(known), return_counts=True)
     names, in_toxic = names[in_toxic >= settings.least], in_toxic[in_toxic >= settings.least]
     wanted = Features(frozenset(names.tolist()))
     other = [_packed(wanted.of(t)) for t in unlabelled]
+    wanted.clear()
     if not other or not len(names):
         return flat
     in_all = np.bincount(np.searchsorted(names, np.concatenate(other)), minlength=len(names))
@@ -158,10 +160,11 @@ def fit(toxic: Iterable[str | None], unlabelled: Iterable[str | None], prior: fl
         for found in texts:
             at = np.searchsorted(names, found)
             at[at == len(names)] = 0
-            rows.append(at[names[at] == found])
-        return np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows]), len(rows)
+            rows.append(at[names[at] == found].astype(np.int32))
+        return np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows]), len(rows)
 
     toxic_side, all_side = matrix(known), matrix(other)
+    del known, other
     w, b = _descend(toxic_side, all_side, np.zeros(len(names)), flat.bias, prior, settings, settings.steps, settings.penalty)
     # The penalty has chosen the features; their weights are then fitted without it.
     w, b = _descend(toxic_side, all_side, w, b, prior, settings, settings.refit_steps, 0.0)
