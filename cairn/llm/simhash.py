@@ -315,15 +315,12 @@ def near_groups(
     if not with_row:
         found = rows.join(label, "sig")
         return found.select(F.col("id").alias(id_col), F.col("sig").alias("signature"), "component_id")
+    # All but the last join are on numbers; the rows themselves are shuffled once.
     order = F.struct(F.col("id").isNull().alias("z"), F.col("id").alias("i"), F.col("rid").alias("r"))
-    first = (
-        rows.select("id", "rid", "sig")
-        .join(label, "sig")
-        .groupBy("root")
-        .agg(F.min(order)["r"].alias("rid"))
-        .select("rid", F.lit(True).alias("first"))
-    )
-    found = rows.join(label, "sig").join(first, "rid", "left")
+    slim = rows.select("id", "rid", "sig").join(label, "sig").select("id", "rid", "root", "component_id")
+    first = slim.groupBy("root").agg(F.min(order)["r"].alias("rid")).select("rid", F.lit(True).alias("first"))
+    slim = slim.select("rid", "component_id").join(first, "rid", "left")
+    found = rows.join(slim, "rid")
     return found.select(
         F.col("id").alias(id_col),
         F.col("sig").alias("signature"),
