@@ -71,9 +71,11 @@ def _packed(found: set[int]) -> np.ndarray:
 class Model:
     weights: dict[int, float]
     bias: float
+    #: Log odds of the class prior, for texts without a feature that has a weight.
+    prior: float
 
     def score(self, found: set[int]) -> float:
-        z = self.bias + sum(self.weights[f] for f in sorted(found))
+        z = self.bias + sum(self.weights[f] for f in sorted(found)) if found else self.prior
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
@@ -136,7 +138,8 @@ def fit(toxic: Iterable[str | None], unlabelled: Iterable[str | None], prior: fl
     texts no more is held than the numbers of their features, of the unlabelled ones those that toxic ones have.
     """
     prior = min(max(prior, 1e-4), 0.9)
-    flat = Model({}, float(np.log(prior / (1 - prior))))
+    odds = float(np.log(prior / (1 - prior)))
+    flat = Model({}, odds, odds)
     numbers = Features()
     known = [_packed(numbers.of(t)) for t in toxic]
     numbers.clear()
@@ -170,7 +173,7 @@ def fit(toxic: Iterable[str | None], unlabelled: Iterable[str | None], prior: fl
     w, b = _descend(toxic_side, all_side, w, b, prior, settings, settings.refit_steps, 0.0)
     w, b = settings.sharpen * w, settings.sharpen * b
     b += _prior_shift(np.bincount(all_side[1], w[all_side[0]], all_side[2]) + b, prior)
-    return Model({int(f): float(x) for f, x in zip(names, w) if x}, b)
+    return Model({int(f): float(x) for f, x in zip(names, w) if x}, b, odds)
 
 
 def train(
@@ -221,7 +224,8 @@ def _score(model: Model):
 def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """One row per row of ``docs``: id, ``score`` (0 to 1), ``predicted`` (1 from ``threshold`` on).
 
-    The whole text counts; a null one is empty and has the score of no features. Repeated rows are scored each, a null
+    The whole text counts; a null one is empty; a text without any feature that counts has
+    the class prior as score. Repeated rows are scored each, a null
     id stays null, an empty table gives an empty result, other columns are ignored.
     """
     base = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("raw"))
