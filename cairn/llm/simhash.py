@@ -8,14 +8,17 @@ two nodes take different branches, and prunes a pair beyond the budget.
 To deal the trie out, a band's bits are cut into blocks. Within the budget some blocks must agree, so for each choice
 of agreeing blocks the bits are put in the order *those blocks, the rest*: the agreeing blocks are the path to a
 subtrie, each subtrie is walked in one task, and every pair within the budget meets in at least one order. What a task
-holds is distinct band values only: a group of copies is one vertex. A subtrie gives a spanning forest of its
-candidate pairs, never all pairs, and connectivity is the same.
+holds is distinct band values only: a group of copies is one vertex. A subtrie gives a spanning forest of its links,
+never all pairs, and connectivity is the same.
+
+Where a link needs more than a near band, a first walk only marks what meets a candidate at all. The marked rows are
+given their whole signatures and walked again, and each candidate pair is checked before a forest is taken.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from itertools import accumulate, combinations
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate, chain, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,8 @@ from cairn.session import Workspace
 SEED = 42
 #: Node pairs walked at a time, and rows of whole subtries gathered for one walk.
 FRONTIER, CHUNK = 400_000, 200_000
+#: Signature pairs compared at a time; pairs of two groups of equal values beyond which these are searched by breadth.
+CELLS, DENSE = 500_000, 4096
 
 
 def shingle_hashes(text: str, size: int) -> np.ndarray:
@@ -196,67 +201,173 @@ def spanning_forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sort(np.concatenate(chosen)) if chosen else np.empty(0, np.int64)
 
 
-def _walk(path: np.ndarray, rest: np.ndarray, v: np.ndarray, bits: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """Linking pairs of vertices among rows of whole subtries."""
+def _distinct(path: np.ndarray, rest: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The order of rows by subtrie, value and vertex; where each value begins, the values, and the subtries' bounds."""
     rest = rest.view(np.uint64)
     by = np.lexsort((v, rest, path))
-    path, rest, v = path[by], rest[by], v[by]
-    new = np.ones(len(v), bool)
+    path, rest = path[by], rest[by]
+    new = np.ones(len(by), bool)
     new[1:] = (path[1:] != path[:-1]) | (rest[1:] != rest[:-1])
     at = np.flatnonzero(new)
-    owner = at[np.cumsum(new) - 1]
-    equal = ~new
-    left, right = [v[owner[equal]]], [v[equal]]
-    x, tree = rest[at], path[at]
+    tree = path[at]
     edge = np.flatnonzero(np.concatenate([[True], tree[1:] != tree[:-1]]))
-    lo, hi = edge, np.append(edge[1:], len(tree))
-    pairs: list[tuple[np.ndarray, np.ndarray]] = []
-    held = 0
+    return by, at, rest[at], edge, np.append(edge[1:], len(tree))
+
+
+class _Forest:
+    """Edges among ``n`` vertices, thinned to a spanning forest whenever many are held."""
 
-    def thin() -> tuple[np.ndarray, np.ndarray]:
-        i, j = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
-        nearest = np.argsort(np.bitwise_count(x[i] ^ x[j]), kind="stable")
-        i, j = i[nearest], j[nearest]
-        keep = spanning_forest(len(x), i, j)
-        return i[keep], j[keep]
+    def __init__(self, n: int):
+        self.n, self.held = n, 0
+        self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
 
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.pairs.append((a, b))
+        self.held += len(a)
+        if self.held > 2_000_000:
+            self.pairs, self.held = [self.edges()], 0
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self.pairs:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        a, b = (np.concatenate([p[k] for p in self.pairs]) for k in (0, 1))
+        keep = spanning_forest(self.n, a, b)
+        return a[keep], b[keep]
+
+
+def _walk(path: np.ndarray, rest: np.ndarray, v: np.ndarray, bits: int, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """Linking pairs of vertices among rows of whole subtries, where every candidate is a link."""
+    by, at, x, lo, hi = _distinct(path, rest, v)
+    v = v[by]
+    owner = np.repeat(at, np.diff(np.append(at, len(v))))
+    equal = owner != np.arange(len(v))
+    forest = _Forest(len(x))
     for i, j in trie_pairs(x, lo, hi, bits, budget):
-        pairs.append((i, j))
-        held += len(i)
-        if held > 2_000_000:
-            pairs, held = [thin()], 0
-    if pairs:
-        i, j = thin()
-        left.append(v[at[i]])
-        right.append(v[at[j]])
-    return np.concatenate(left), np.concatenate(right)
-
-
-def _trie_join(bits: int, budget: int):
+        forest.add(i, j)
+    i, j = forest.edges()
+    return np.concatenate([v[owner[equal]], v[at[i]]]), np.concatenate([v[equal], v[at[j]]])
+
+
+def _meeting(path: np.ndarray, rest: np.ndarray, v: np.ndarray, bits: int, budget: int, own: np.ndarray) -> np.ndarray:
+    """Positions of the rows that have a candidate in their subtrie; equal values, that meet in all orders, count where ``own`` holds."""
+    by, at, x, lo, hi = _distinct(path, rest, v)
+    size = np.diff(np.append(at, len(by)))
+    meets = (size > 1) & own[by[at]]
+    for i, j in trie_pairs(x, lo, hi, bits, budget):
+        meets[i] = meets[j] = True
+    return by[np.repeat(meets, size)]
+
+
+def _differ(sig: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Bits in which signatures (words by rows) at p and q differ."""
+    found = np.bitwise_count(sig[0][p] ^ sig[0][q]).astype(np.int32)
+    for word in sig[1:]:
+        found += np.bitwise_count(word[p] ^ word[q])
+    return found
+
+
+def _searched(sig: np.ndarray, a: np.ndarray, b: np.ndarray | None, within: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A spanning forest of the links between rows ``a`` and ``b``, or among ``a``: every row is compared with those not yet reached."""
+    unseen = [a] if b is None else [a, b]
+    while all(len(u) for u in unseen):
+        todo = [(0, unseen[0][:1])]
+        unseen[0] = unseen[0][1:]
+        while todo:
+            side, block = todo.pop()
+            other = (side + 1) % len(unseen)
+            while len(block) and len(unseen[other]):
+                n = max(1, CELLS // len(unseen[other]))
+                some, block, against = block[:n], block[n:], unseen[other]
+                near = np.concatenate(
+                    [_differ(sig, some[:, None], against[None, k : k + CELLS]) <= within for k in range(0, len(against), CELLS)], axis=1
+                )
+                hit = near.any(axis=0)
+                if hit.any():
+                    yield some[near[:, hit].argmax(axis=0)], against[hit]
+                    todo.append((other, against[hit]))
+                    unseen[other] = against[~hit]
+
+
+def _checked(
+    path: np.ndarray, rest: np.ndarray, v: np.ndarray, sig: np.ndarray, bits: int, budget: int, within: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Linking pairs of vertices among rows of whole subtries: candidates whose signatures differ in at most ``within`` bits."""
+    by, at, x, lo, hi = _distinct(path, rest, v)
+    v, sig = v[by], np.ascontiguousarray(sig[by].T)
+    size = np.diff(np.append(at, len(v)))
+    forest = _Forest(len(v))
+    same = np.flatnonzero(size > 1)
+    for i, j in chain([(same, same)], trie_pairs(x, lo, hi, bits, budget)):
+        count = size[i] * size[j]
+        for k in np.flatnonzero(count > DENSE):
+            rows_i, rows_j = (np.arange(at[g], at[g] + size[g]) for g in (i[k], j[k]))
+            for p, q in _searched(sig, rows_i, rows_j if i[k] != j[k] else None, within):
+                forest.add(p, q)
+        i, j, count = (c[count <= DENSE] for c in (i, j, count))
+        total = np.cumsum(count)
+        begin = 0
+        while begin < len(i):
+            end = max(begin + 1, int(np.searchsorted(total, total[begin] - count[begin] + CELLS, "right")))
+            n, wide = count[begin:end], size[j[begin:end]]
+            k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            p = np.repeat(at[i[begin:end]], n) + k // np.repeat(wide, n)
+            q = np.repeat(at[j[begin:end]], n) + k % np.repeat(wide, n)
+            near = (p != q) & (_differ(sig, p, q) <= within)
+            forest.add(p[near], q[near])
+            begin = end
+    a, b = forest.edges()
+    return v[a], v[b]
+
+
+def _array(column: pa.Array) -> np.ndarray:
+    """The numbers of a column, or of arrays of equal length by rows."""
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(column), -1)
+    return column.to_numpy(zero_copy_only=False)
+
+
+def _by_subtrie(columns: list[str], walk: Callable[..., pa.RecordBatch]):
+    """Walks over rows that come ordered by path, the first of ``columns``; each takes whole subtries."""
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         size = 0
-
-        def walk(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            if len(columns[0]):
-                a, b = _walk(*columns, bits, budget)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
         for batch in batches:
-            held.append([batch[c].to_numpy(zero_copy_only=False) for c in ("path", "rest", "v")])
+            if not len(batch):
+                continue
+            held.append([_array(batch[c]) for c in columns])
             size += len(batch)
             if size < CHUNK:
                 continue
-            columns = [np.concatenate(c) for c in zip(*held)]
-            cut = int(np.searchsorted(columns[0], columns[0][-1]))  # rows come ordered by path
-            yield from walk([c[:cut] for c in columns])
-            held, size = [[c[cut:] for c in columns]], len(columns[0]) - cut
+            whole = [np.concatenate(c) for c in zip(*held)]
+            cut = int(np.searchsorted(whole[0], whole[0][-1]))
+            if cut:
+                yield walk(*(c[:cut] for c in whole))
+            held, size = [[c[cut:] for c in whole]], len(whole[0]) - cut
         if held:
-            yield from walk([np.concatenate(c) for c in zip(*held)])
+            yield walk(*(np.concatenate(c) for c in zip(*held)))
 
     return run
 
 
+def _links(bits: int, budget: int, within: int | None):
+    def walk(*columns: np.ndarray) -> pa.RecordBatch:
+        a, b = _walk(*columns, bits, budget) if within is None else _checked(*columns, bits, budget, within)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return _by_subtrie(["path", "rest", "v", *(["sig"] if within is not None else [])], walk)
+
+
+def _candidates(bits: int, budget: int, plan: list[tuple[list[int], list[int]]]):
+    longest = max(len(path) for path, _ in plan)
+
+    def walk(path: np.ndarray, rest: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+        at = _meeting(path, rest, v, bits, budget, (path >> longest) % len(plan) == 0)
+        return pa.RecordBatch.from_arrays([pa.array(c[at]) for c in (path, rest, v)], names=["path", "rest", "v"])
+
+    return _by_subtrie(["path", "rest", "v"], walk)
+
+
 def near_groups(
     docs: DataFrame,
     *,
@@ -292,19 +403,15 @@ def near_groups(
     rows = work.save(base.mapInArrow(_signatures(shingle, words, kept), shape), "signatures")
     nodes = work.save(rows.groupBy("sig").agg(F.min("id").alias("low"), F.min("rid").alias("v")), "nodes")
     subtries = nodes.select("v", "sig").mapInArrow(_subtries(band_bits, budget, spare), "path long, rest long, v long")
-    rest_bits = max(len(rest) for _, rest in orders(band_bits, budget, spare))
-    links = (
-        subtries.repartition("path")
-        .sortWithinPartitions("path")
-        .mapInArrow(_trie_join(rest_bits, budget), "a long, b long")
-        .distinct()
-    )
+    plan = orders(band_bits, budget, spare)
+    rest_bits = max(len(rest) for _, rest in plan)
+    met = subtries.repartition("path").sortWithinPartitions("path")
+    if within is not None:
+        met = met.mapInArrow(_candidates(rest_bits, budget, plan), "path long, rest long, v long")
+        met = met.join(nodes.select("v", "sig"), "v").repartition("path").sortWithinPartitions("path")
+    links = met.mapInArrow(_links(rest_bits, budget, within), "a long, b long").distinct()
     if within is not None:
-        links = work.save(links, "candidates")
-        left = nodes.select(F.col("v").alias("a"), F.col("sig").alias("x"))
-        right = nodes.select(F.col("v").alias("b"), F.col("sig").alias("y"))
-        differ = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
-        links = links.join(left, "a").join(right, "b").where(differ <= within).select("a", "b")
+        links = work.save(links, "links")
     reach = connected_components(links, src="a", dst="b")
     root = nodes.join(reach.withColumnRenamed("node", "v"), "v", "left").select(
         "sig", "low", "v", F.coalesce("component", "v").alias("root")

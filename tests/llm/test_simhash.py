@@ -3,7 +3,7 @@ import random
 import numpy as np
 import xxhash
 
-from cairn.llm.simhash import near_dedup, near_groups, shingle_hashes, signature, spanning_forest, trie_pairs
+from cairn.llm.simhash import _checked, _meeting, near_dedup, near_groups, shingle_hashes, signature, spanning_forest, trie_pairs
 
 
 def plain_fingerprint(text, size):
@@ -111,3 +111,78 @@ def test_empty_and_null_ids(docs):
     assert near_groups(docs()).count() == 0 and near_dedup(docs()).count() == 0
     found = near_groups(docs((None, "a b c"), (4, "a b c"), (None, "z y x w v"))).collect()
     assert sorted(str(r.component_id) for r in found) == ["4", "4", "None"]
+
+
+def family(n, rng):
+    """Texts that share a passage below the similarity of 0.8, most with a copy above it."""
+    words = [f"w{k}" for k in range(5000)]
+    shared = [rng.choice(words) for _ in range(300)]
+    rows = []
+    for k in range(n):
+        base = [*shared, *(rng.choice(words) for _ in range(rng.randint(60, 110)))]
+        rows.append(base)
+        if k % 3:
+            copy = list(base)
+            for _ in range(k % 5):
+                copy[rng.randrange(300, len(copy))] = "changed"
+            rows.append([*copy, "end"])
+    rng.shuffle(rows)
+    return [(i, " ".join(r)) for i, r in enumerate(rows)]
+
+
+def linked_by_brute_force(texts, within):
+    """Components of pairs that differ in at most two bits of some 32-bit band and in ``within`` of all."""
+    sigs = np.array([signature(shingle_hashes(t, 5), 8) for t in texts])
+    bands = sigs.view(np.uint32)
+    label = list(range(len(texts)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    met = 0
+    for i in range(len(texts)):
+        band = (np.bitwise_count(bands[i] ^ bands[:i]) <= 2).any(axis=1)
+        whole = np.bitwise_count(sigs[i] ^ sigs[:i]).sum(axis=1, dtype=int) <= within
+        met += int(band.sum())
+        for j in np.flatnonzero(band & whole).tolist():
+            a, b = find(i), find(j)
+            label[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))], met
+
+
+def test_near_dedup_equals_brute_force_in_a_family_of_shared_passages(docs):
+    rows = family(240, random.Random(12))
+    want, met = linked_by_brute_force([t for _, t in rows], 53)
+    kept = {r.doc_id for r in near_dedup(docs(*rows), similarity=0.9).collect()}
+    want_80, _ = linked_by_brute_force([t for _, t in rows], 78)
+    kept_80 = {r.doc_id for r in near_dedup(docs(*rows)).collect()}
+    assert met > 2 * len(rows) and 1 < len(set(want_80)) < len(set(want)) < len(rows)  # most candidates are no links
+    assert kept == set(want) and kept_80 == set(want_80)
+
+
+def test_checked_walk_equals_brute_force(monkeypatch):
+    rng = np.random.default_rng(8)
+    n = 400
+    path, v = rng.integers(0, 3, n), rng.permutation(n)
+    rest = rng.choice(np.array([0, 1, 3, 7, 64, 960, 4000]), n).astype(np.int64)
+    sig = rng.integers(0, 2**64, (40, 2), dtype=np.uint64)[rng.integers(0, 40, n)] ^ (np.uint64(1) << rng.integers(0, 64, (n, 2), dtype=np.uint64))
+    near = (path[:, None] == path) & (np.bitwise_count(rest[:, None] ^ rest) <= 2)
+    link = near & (np.bitwise_count(sig[:, None] ^ sig).sum(axis=2, dtype=int) <= 3)
+    want = spanning_forest(n, *(v[k] for k in np.nonzero(link)))
+
+    def labels(a, b):
+        label = np.arange(n)
+        for _ in range(n):
+            np.minimum.at(label, a, label[b])
+            np.minimum.at(label, b, label[a])
+        return label.tolist()
+
+    for dense, cells in ((4096, 500_000), (0, 64), (300, 1000)):
+        monkeypatch.setattr("cairn.llm.simhash.DENSE", dense)
+        monkeypatch.setattr("cairn.llm.simhash.CELLS", cells)
+        a, b = _checked(path, rest, v, sig, 12, 2, 3)
+        assert len(a) == len(want) and labels(a, b) == labels(*(v[k] for k in np.nonzero(link)))
+    own = np.ones(n, bool)
+    assert set(_meeting(path, rest, v, 12, 2, own).tolist()) == set(np.flatnonzero(near.sum(axis=1) > 1).tolist())
