@@ -3,8 +3,9 @@
 A mask keeps some of the tokens of a span and ignores the rest. Masked spans of every document and of every benchmark
 item are hashed and joined; a hit names a document, an item and how far one is shifted against the other. At each such
 shift the tokens are compared, and an overlap counts when some window of :data:`WINDOW` tokens of the item is matched
-but for :data:`MISSES` substitutions. The two masks together hit every such window, wherever the substitutions are, so
-nothing is lost by looking only around hits.
+but for :data:`MISSES` substitutions, of which tokens beyond an end of the document are some. The two masks together
+hit every such window, wherever the substitutions are: a clean span begins and ends with a kept token, so it lies
+within the document. Nothing is lost by looking only around hits.
 """
 
 from __future__ import annotations
@@ -50,22 +51,18 @@ def _hits(rows: DataFrame, *keep: str) -> DataFrame:
 def _compared(words: Column, found: Column) -> Column:
     """For one candidate (item, shift, item's words): tokens matched in all, and in the best window."""
     item, shift = found["words"], found["shift"]
-    low = F.greatest(F.lit(0), -shift)
-    high = F.least(F.size(item), F.size(words) - shift) - 1
-    same = F.transform(F.sequence(low, high), lambda j: F.when(F.get(words, j + shift) == F.get(item, j), 1).otherwise(0))
+    # Positions of the item that the document doesn't reach are misses.
+    same = F.transform(item, lambda w, j: F.when(F.get(words, j + shift) == w, 1).otherwise(0))
     width = F.least(F.lit(WINDOW), F.size(item))
-    windows = F.when(
-        F.size(same) >= width,
-        F.transform(
-            F.sequence(F.lit(1), F.size(same) - width + 1),
-            lambda k: F.aggregate(F.slice(same, k, width), F.lit(0), lambda s, n: s + n),
-        ),
+    windows = F.transform(
+        F.sequence(F.lit(1), F.size(item) - width + 1),
+        lambda k: F.aggregate(F.slice(same, k, width), F.lit(0), lambda s, n: s + n),
     )
     return F.struct(
         found["item"].alias("item"),
         F.size(item).cast("long").alias("item_tokens"),
         F.aggregate(same, F.lit(0), lambda s, n: s + n).cast("long").alias("matched"),
-        F.coalesce(F.array_max(windows), F.lit(0)).cast("long").alias("window_matched"),
+        F.array_max(windows).cast("long").alias("window_matched"),
         F.when(F.size(item) < WINDOW, F.size(item)).otherwise(WINDOW - MISSES).alias("needed"),
     )
 

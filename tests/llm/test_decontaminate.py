@@ -76,3 +76,14 @@ def test_clean_rows_stay_whole(docs, spark):
     assert kept.columns == table.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
     assert decontaminate(docs(), items(spark, (1, passage))).count() == 0
     assert decontaminate(table, items(spark)).count() == 6
+
+
+def test_pieces_at_the_edges_of_documents(docs, spark):
+    p = [f"p{k}" for k in range(20)]
+    pieces = {1: p[:11], 2: p[9:], 3: [*p[8:], "and", "more"], 4: ["before", *p[:12]], 5: p[4:16], 6: p[:10], 7: [*p[:5], "x", *p[6:12]], 8: [*p[:5], "x", *p[6:11]]}
+    rows = [(d, " ".join(w)) for d, w in pieces.items()]
+    bench = [(1, " ".join(p)), (2, " ".join(p[:13]))]
+    found = overlaps(docs(*rows), items(spark, *bench)).collect()
+    want = brute(rows, bench)
+    assert {d for d, _ in want} == {1, 2, 3, 4, 5, 7} and {(r.doc_id, r.item_id): (r.matched, r.window_matched) for r in found} == want
+    assert sorted(r.doc_id for r in decontaminate(docs(*rows), items(spark, *bench)).collect()) == [6, 8]
