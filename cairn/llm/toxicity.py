@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Lengths of word beginnings that are features, besides the word; remembered words; texts at a time.
-BEGINNINGS, REMEMBERED, ROWS = (4, 5, 6, 7, 8), 50_000, 256
+#: Lengths of word beginnings that are features, besides the word; remembered words; texts at a time; entries of a matrix at a time.
+BEGINNINGS, REMEMBERED, ROWS, ENTRIES = (4, 5, 6, 7, 8), 50_000, 256, 500_000
 
 
 @dataclass(frozen=True)
@@ -31,9 +31,9 @@ class Settings:
     """Bounds of the sample and of the fit. A feature is tried if ``least`` toxic texts have it. The steps end
     before the weights have grown out, so the outputs are sharpened before the prior sets their bias."""
 
-    toxic_rows: int = 2000
-    unlabelled_rows: int = 6000
-    features: int = 10_000
+    toxic_rows: int = 3000
+    unlabelled_rows: int = 9000
+    features: int = 20_000
     least: int = 3
     steps: int = 250
     refit_steps: int = 80
@@ -83,7 +83,21 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-Side = tuple[np.ndarray, np.ndarray, int]  # columns and rows of a 0/1 matrix, its number of rows
+Side = tuple[np.ndarray, np.ndarray]  # a 0/1 matrix: columns row by row, and where each row begins, the end included
+
+
+def _parts(side: Side) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Rows of a bounded number of entries at a time: their slice, the entries' columns and rows within the slice."""
+    cols, starts = side
+    at = 0
+    while at < len(starts) - 1:
+        to = max(at + 1, int(np.searchsorted(starts, starts[at] + ENTRIES, "right")) - 1)
+        yield slice(at, to), cols[starts[at] : starts[to]], np.repeat(np.arange(to - at), np.diff(starts[at : to + 1]))
+        at = to
+
+
+def _outputs(side: Side, w: np.ndarray, b: float) -> np.ndarray:
+    return np.concatenate([np.bincount(rows, w[cols], at.stop - at.start) for at, cols, rows in _parts(side)]) + b
 
 
 def _descend(
@@ -93,16 +107,14 @@ def _descend(
     free = np.append((w != 0) | (penalty > 0), True)
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
 
-    def outputs(side: Side) -> np.ndarray:
-        cols, rows, n = side
-        return np.bincount(rows, w[cols], n) + b
-
     def gradient(side: Side, slope: np.ndarray) -> np.ndarray:
-        cols, rows, n = side
-        return np.append(np.bincount(cols, slope[rows], len(w)), slope.sum()) / n
+        found = np.zeros(len(w))
+        for at, cols, rows in _parts(side):
+            found += np.bincount(cols, slope[at][rows], len(w))
+        return np.append(found, slope.sum()) / len(slope)
 
     for step in range(1, steps + 1):
-        zp, zu = outputs(toxic), outputs(unlabelled)
+        zp, zu = _outputs(toxic, w, b), _outputs(unlabelled, w, b)
         as_clean = gradient(unlabelled, _sigmoid(zu)) - prior * gradient(toxic, _sigmoid(zp))
         if np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean() < 0:
             g = -as_clean
@@ -147,24 +159,36 @@ def fit(toxic: Iterable[str | None], unlabelled: Iterable[str | None], prior: fl
         return flat
     names, in_toxic = np.unique(np.concatenate(known), return_counts=True)
     names, in_toxic = names[in_toxic >= settings.least], in_toxic[in_toxic >= settings.least]
+    if not len(names):
+        return flat
+
+    def positions(found: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(names, found).astype(np.int32)
+        at[at == len(names)] = 0
+        return at[names[at] == found]
+
+    known = [positions(found) for found in known]
     wanted = Features(frozenset(names.tolist()))
-    other = [_packed(wanted.of(t)) for t in unlabelled]
-    wanted.clear()
-    if not other or not len(names):
+    other, in_all = [], np.zeros(len(names), np.int64)
+    for t in unlabelled:
+        other.append(positions(_packed(wanted.of(t))))
+        in_all[other[-1]] += 1
+    del wanted
+    if not other:
         return flat
-    in_all = np.bincount(np.searchsorted(names, np.concatenate(other)), minlength=len(names))
     # Most telling first: by how far the share among toxic texts exceeds that among all, in standard errors.
     p, u = in_toxic / len(known), (in_all + 0.5) / (len(other) + 1)
     gap = (p - u) / np.sqrt(u * (1 - np.minimum(u, 0.999)) / len(known))
-    names = np.sort(names[np.lexsort((names, -gap))[: settings.features]])
+    chosen = np.sort(np.lexsort((names, -gap))[: settings.features])
+    column = np.full(len(names), -1, np.int32)
+    column[chosen] = np.arange(len(chosen))
+    names = names[chosen]
 
     def matrix(texts: list[np.ndarray]) -> Side:
-        rows = []
-        for found in texts:
-            at = np.searchsorted(names, found)
-            at[at == len(names)] = 0
-            rows.append(at[names[at] == found].astype(np.int32))
-        return np.concatenate(rows), np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows]), len(rows)
+        for k, found in enumerate(texts):
+            texts[k] = column[found]
+            texts[k] = texts[k][texts[k] >= 0]
+        return np.concatenate(texts), np.concatenate([[0], np.cumsum([len(found) for found in texts])])
 
     toxic_side, all_side = matrix(known), matrix(other)
     del known, other
@@ -172,7 +196,7 @@ def fit(toxic: Iterable[str | None], unlabelled: Iterable[str | None], prior: fl
     # The penalty has chosen the features; their weights are then fitted without it.
     w, b = _descend(toxic_side, all_side, w, b, prior, settings, settings.refit_steps, 0.0)
     w, b = settings.sharpen * w, settings.sharpen * b
-    b += _prior_shift(np.bincount(all_side[1], w[all_side[0]], all_side[2]) + b, prior)
+    b += _prior_shift(_outputs(all_side, w, b), prior)
     return Model({int(f): float(x) for f, x in zip(names, w) if x}, b, odds)
 
 

@@ -53,3 +53,23 @@ def test_defined_without_positives_and_for_odd_rows(docs, spark):
     assert score(docs(), model).count() == 0
     odd = spark.createDataFrame([(1, None), (None, 1), (2, 1), (2, 0)], "doc_id long, toxic int")
     assert 0 <= score(table, train(table, odd, F.lit(True))).first().score <= 1
+
+
+def test_the_fit_tries_all_features_within_its_bounds(monkeypatch):
+    settings = Settings(steps=2, refit_steps=1)
+    assert (settings.toxic_rows, settings.unlabelled_rows, settings.features) == (3000, 9000, 20_000)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c for a in letters[:20] for b in letters for c in letters[:24]]  # no beginnings besides the word
+    tried = []
+    monkeypatch.setattr("cairn.llm.toxicity._descend", lambda toxic, unlabelled, w, b, *rest: tried.append(len(w)) or (w, b))
+    fit([" ".join(words)] * 3, [" ".join(words[:9]), None], 0.1, settings)
+    assert tried == [len(words)] * 2 and len(words) > 12_000
+
+
+def test_parts_of_a_matrix_change_nothing(corpus, monkeypatch):
+    toxic, all_ = [t for _, t, y in corpus if y], [t for _, t, _ in corpus]
+    settings = Settings(steps=40, refit_steps=10)
+    whole = fit(toxic, all_, 1 / 8, settings)
+    monkeypatch.setattr("cairn.llm.toxicity.ENTRIES", 50)
+    parts = fit(toxic, all_, 1 / 8, settings)
+    assert parts.weights == pytest.approx(whole.weights) and parts.bias == pytest.approx(whole.bias)
