@@ -11,17 +11,22 @@ subtrie, each subtrie is walked in one task, and every pair within the budget me
 holds is distinct band values only: a group of copies is one vertex. A subtrie gives a spanning forest of its links,
 never all pairs, and connectivity is the same.
 
-Where a link needs more than a near band, a first walk only marks what meets a candidate at all. The marked rows are
-given their whole signatures and walked again, and each candidate pair is checked before a forest is taken.
+Where a link needs more than a near band, three walks follow each other, each over what the one before left: the first
+marks what meets a candidate at all; the second has the whole signatures, links what is surely similar and marks the
+rows of pairs that may be; the third has the shingles of those rows and compares them exactly. Each doubtful pair is
+compared in one subtrie only, the first in which it meets, and no pair is given up before it is decided.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
+from functools import cached_property
 from itertools import accumulate, chain, combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +35,12 @@ from cairn.operators.graph import connected_components
 from cairn.session import Workspace
 
 SEED = 42
-#: Node pairs walked at a time, and rows of whole subtries gathered for one walk.
-FRONTIER, CHUNK = 400_000, 200_000
+#: Node pairs walked at a time, and bytes of whole subtries gathered for one walk.
+FRONTIER, CHUNK = 400_000, 1 << 24
+#: Values that a subtrie should hold at most: beyond it more blocks must agree, so that paths are longer.
+SUBTRIE = 50_000
+#: Rows of keys that a task may hold for a broadcast join. Beyond it the join is shuffled.
+BROADCAST_ROWS = 1_000_000
 #: Signature pairs compared at a time; pairs of two groups of equal values beyond which these are searched by breadth.
 CELLS, DENSE = 500_000, 4096
 
@@ -70,10 +79,14 @@ def signature(hashes: np.ndarray, words: int) -> np.ndarray:
     return out
 
 
-def _signatures(size: int, words: int, kept: list[str]):
+def _signatures(size: int, words: int, kept: list[str], distinct: bool):
+    def hashes(text: str | None) -> np.ndarray:
+        found = shingle_hashes(text or "", size)
+        return np.unique(found) if distinct else found
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sigs = [signature(shingle_hashes(t or "", size), words).view(np.int64) for t in batch["raw"].to_pylist()]
+            sigs = [signature(hashes(t), words).view(np.int64) for t in batch["raw"].to_pylist()]
             flat = np.concatenate(sigs) if sigs else np.empty(0, np.int64)
             offsets = pa.array(np.arange(0, len(flat) + 1, words, dtype=np.int32))
             sig = pa.ListArray.from_arrays(offsets, pa.array(flat))
@@ -106,23 +119,63 @@ def _gather(x: np.ndarray, bits: list[int]) -> np.ndarray:
     return out
 
 
-def _subtries(band_bits: int, budget: int, spare: int):
+@dataclass(frozen=True)
+class Bands:
+    """The bands of a signature, ``bits`` wide and ``stride`` apart within each word, and the orders of their bits.
+
+    A tree is a band with an order; a path is the tree's number and then the agreeing bits.
+    """
+
+    bits: int
+    budget: int
+    spare: int
+    stride: int
+    words: int
+
+    @cached_property
+    def plan(self) -> list[tuple[list[int], list[int]]]:
+        return orders(self.bits, self.budget, self.spare)
+
+    @property
+    def longest(self) -> int:
+        return max(len(path) for path, _ in self.plan)
+
+    @property
+    def rest_bits(self) -> int:
+        return max(len(rest) for _, rest in self.plan)
+
+    def values(self, sig: np.ndarray) -> Iterator[np.ndarray]:
+        """Each band of signatures (words by rows), in order."""
+        for word in range(self.words):
+            for at in range(0, 64 - self.bits + 1, self.stride):
+                x = sig[word] >> np.uint64(at)
+                yield x & np.uint64((1 << self.bits) - 1) if self.bits < 64 else x
+
+    def first_tree(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The first tree in which two signatures (words by rows each) meet; beyond all trees where they don't."""
+        masks = [np.uint64(sum(1 << i for i in path)) for path, _ in self.plan]
+        found = np.full(a.shape[1], len(masks) * len(range(0, 64 - self.bits + 1, self.stride)) * self.words)
+        open_ = np.arange(a.shape[1])
+        for number, x in enumerate(self.values(a ^ b)):
+            near = np.bitwise_count(x[open_]) <= self.budget
+            for k, mask in enumerate(masks):
+                hit = open_[near & (x[open_] & mask == 0)]
+                found[hit] = np.minimum(found[hit], number * len(masks) + k)
+            open_ = open_[~near]
+            if not len(open_):
+                break
+        return found
+
+
+def _subtries(bands: Bands):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = orders(band_bits, budget, spare)
-        longest = np.uint64(max(len(path) for path, _ in plan))
         for batch in batches:
-            n = len(batch)
-            if not n:
+            if not len(batch):
                 continue
             v = batch["v"].to_numpy(zero_copy_only=False)
-            sig = batch["sig"].flatten().to_numpy().view(np.uint64).reshape(n, -1)
-            parts = 64 // band_bits
-            for band in range(sig.shape[1] * parts):
-                x = sig[:, band // parts] >> np.uint64(band % parts * band_bits)
-                if band_bits < 64:
-                    x = x & np.uint64((1 << band_bits) - 1)
-                for k, (path, rest) in enumerate(plan):
-                    tree = np.uint64(band * len(plan) + k) << longest
+            for band, x in enumerate(bands.values(np.ascontiguousarray(_array(batch["sig"]).T))):
+                for k, (path, rest) in enumerate(bands.plan):
+                    tree = np.uint64((band * len(bands.plan) + k) << bands.longest)
                     columns = [(_gather(x, path) | tree).view(np.int64), _gather(x, rest).view(np.int64), v]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["path", "rest", "v"])
 
@@ -319,134 +372,354 @@ def _checked(
     return v[a], v[b]
 
 
-def _array(column: pa.Array) -> np.ndarray:
+def _find(parent: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The root of each row."""
+    root = parent[rows]
+    while True:
+        up = parent[root]
+        if (up == root).all():
+            return root
+        root = up
+
+
+def _open_pairs(i: np.ndarray, j: np.ndarray, at: np.ndarray, size: np.ndarray, parent: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (p, q) of pairs of groups of equal values that aren't connected yet, in blocks.
+
+    Of a large pair of groups only rows outside their largest class are paired with the others, since one of two rows
+    of different classes is such a row.
+    """
+    count = size[i] * size[j]
+    for k in np.flatnonzero(count > DENSE):
+        rows = np.arange(at[i[k]], at[i[k]] + size[i[k]])
+        if i[k] != j[k]:
+            rows = np.concatenate([rows, np.arange(at[j[k]], at[j[k]] + size[j[k]])])
+        in_i = rows < at[i[k]] + size[i[k]] if i[k] != j[k] else None
+        root = _find(parent, rows)
+        kinds, kind, many = np.unique(root, return_inverse=True, return_counts=True)
+        odd = np.flatnonzero(kind != many.argmax())
+        n = max(1, CELLS // len(rows))
+        for begin in range(0, len(odd), n):
+            a = odd[begin : begin + n]
+            for cut in range(0, len(rows), CELLS):
+                b = np.arange(cut, min(len(rows), cut + CELLS))
+                differ = kind[a][:, None] != kind[b]
+                if in_i is not None:
+                    differ &= in_i[a][:, None] != in_i[b]
+                p, q = np.nonzero(differ)
+                if len(p):
+                    yield rows[a[p]], rows[b[q]]
+    i, j, count = (c[count <= DENSE] for c in (i, j, count))
+    total = np.cumsum(count)
+    begin = 0
+    while begin < len(i):
+        end = max(begin + 1, int(np.searchsorted(total, total[begin] - count[begin] + CELLS, "right")))
+        n, wide = count[begin:end], size[j[begin:end]]
+        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        p = np.repeat(at[i[begin:end]], n) + k // np.repeat(wide, n)
+        q = np.repeat(at[j[begin:end]], n) + k % np.repeat(wide, n)
+        differ = _find(parent, p) != _find(parent, q)
+        if differ.any():
+            yield p[differ], q[differ]
+        begin = end
+
+
+def _doubtful(
+    path: np.ndarray, rest: np.ndarray, v: np.ndarray, sig: np.ndarray, bands: Bands, within: int, parent: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Candidate pairs, as positions in the given order, that aren't connected, differ in at most ``within`` bits, and meet here first.
+
+    ``parent`` may be changed by the caller between blocks. Rows come ordered by path, rest and v; ``sig`` is words by rows.
+    """
+    _, at, x, lo, hi = _distinct(path, rest, v)
+    size = np.diff(np.append(at, len(v)))
+    same = np.flatnonzero(size > 1)
+    for i, j in chain([(same, same)], trie_pairs(x, lo, hi, bands.rest_bits, bands.budget)):
+        for p, q in _open_pairs(i, j, at, size, parent):
+            near = (p != q) & (_differ(sig, p, q) <= within)
+            p, q = p[near], q[near]
+            if len(p):
+                own = bands.first_tree(sig[:, p], sig[:, q]) == path[p] >> bands.longest
+                if own.any():
+                    yield p[own], q[own]
+
+
+def _second(bands: Bands, sure: int, within: int):
+    """Links of surely similar rows, and rows that have a doubtful pair, with the class that the sure links give them."""
+
+    def walk(path: np.ndarray, rest: np.ndarray, v: np.ndarray, sig: np.ndarray) -> pa.RecordBatch:
+        by = _distinct(path, rest, v)[0]
+        path, rest, v, sig = (c[by] for c in (path, rest, v, sig))
+        a, b = _checked(path, rest, np.arange(len(v)), sig, bands.rest_bits, bands.budget, sure)
+        parent = _classes(len(v), a, b)
+        marked = np.zeros(len(v), bool)
+        for p, q in _doubtful(path, rest, v, np.ascontiguousarray(sig.T), bands, within, parent):
+            marked[p] = marked[q] = True
+        at = np.flatnonzero(marked)
+        none = np.full(len(a), -1, np.int64)
+        columns = [none, none, v[a], v[b]], [path[at], rest[at], v[at], v[parent[at]]]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*columns)], names=["path", "rest", "a", "b"])
+
+    return _by_subtrie(lambda t: walk(*(_array(t[c]) for c in ("path", "rest", "v", "sig"))))
+
+
+def _classes(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Of each of ``n`` rows the smallest that the edges reach."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        if (label[a] == low).all() and (label[b] == low).all():
+            return label
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        label = _find(label, np.arange(n))
+
+
+class _Sets:
+    """Sets of shingle hashes by row, as arrays of numbers."""
+
+    def __init__(self, column: pa.Array):
+        self.length = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+        kinds, flat = np.unique(column.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+        self.flat, self.mark = flat.astype(np.int32), np.zeros(len(kinds), bool)
+        self.start = np.cumsum(self.length) - self.length
+
+    def similar(self, p: int, q: np.ndarray, similarity: float) -> np.ndarray:
+        """Which of the rows ``q`` have at least that Jaccard similarity to row ``p``."""
+        own = self.flat[self.start[p] : self.start[p] + self.length[p]]
+        n = self.length[q]
+        out = np.zeros(len(q), bool)
+        fits = np.flatnonzero((np.minimum(n, len(own)) >= similarity * np.maximum(n, len(own)) - 1e-9) & (n > 0))
+        if not len(fits):
+            return out
+        self.mark[own] = True
+        total = np.cumsum(n[fits])
+        begin = 0
+        while begin < len(fits):
+            end = max(begin + 1, int(np.searchsorted(total, total[begin] - n[fits[begin]] + 4 * CELLS, "right")))
+            some = fits[begin:end]
+            m = n[some]
+            at = np.cumsum(m) - m
+            k = np.arange(m.sum()) - np.repeat(at, m) + np.repeat(self.start[q[some]], m)
+            common = np.add.reduceat(self.mark[self.flat[k]], at, dtype=np.int64)
+            out[some] = common >= similarity * (m + len(own) - common) - 1e-9
+            begin = end
+        self.mark[own] = False
+        return out
+
+
+def _third(bands: Bands, within: int, similarity: float):
+    """Links of doubtful pairs whose shingles agree."""
+
+    def walk(t: pa.Table) -> pa.RecordBatch:
+        path, rest, v, label, sig = (_array(t[c]) for c in ("path", "rest", "v", "label", "sig"))
+        by = _distinct(path, rest, v)[0]
+        path, rest, v, label, sig = (c[by] for c in (path, rest, v, label, sig))
+        sets = _Sets(t["shingles"].combine_chunks().take(pa.array(by)))
+        # Rows of one subtrie and one class are connected from the start.
+        kinds = np.unique(np.stack([path, label]), axis=1, return_index=True, return_inverse=True)
+        parent = kinds[1][kinds[2].reshape(-1)]
+        links: list[tuple[int, int]] = []
+        for p, q in _doubtful(path, rest, v, np.ascontiguousarray(sig.T), bands, within, parent):
+            order = np.argsort(p, kind="stable")
+            p, q = p[order], q[order]
+            edge = np.flatnonzero(np.diff(p)) + 1
+            for one, others in zip(p[np.concatenate([[0], edge])].tolist(), np.split(q, edge)):
+                others = others[_find(parent, others) != _find(parent, np.array([one]))[0]]
+                for other in others[sets.similar(one, others, similarity)].tolist():
+                    a, b = _find(parent, np.array([one, other])).tolist()
+                    if a != b:
+                        parent[max(a, b)] = min(a, b)
+                        links.append((one, other))
+        a, b = (v[[pair[k] for pair in links]] if links else np.empty(0, np.int64) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return _by_subtrie(walk)
+
+
+def _array(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """The numbers of a column, or of arrays of equal length by rows."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
     if pa.types.is_list(column.type):
         return column.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(column), -1)
     return column.to_numpy(zero_copy_only=False)
 
 
-def _by_subtrie(columns: list[str], walk: Callable[..., pa.RecordBatch]):
-    """Walks over rows that come ordered by path, the first of ``columns``; each takes whole subtries."""
+def _by_subtrie(walk: Callable[[pa.Table], pa.RecordBatch]):
+    """Walks over rows that come ordered by their column ``path``; each takes whole subtries."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
+        held: list[pa.RecordBatch] = []
         size = 0
         for batch in batches:
             if not len(batch):
                 continue
-            held.append([_array(batch[c]) for c in columns])
-            size += len(batch)
-            if size < CHUNK:
+            held.append(batch)
+            size += batch.nbytes
+            if size < CHUNK or batch["path"][-1] == held[0]["path"][0]:
                 continue
-            whole = [np.concatenate(c) for c in zip(*held)]
-            cut = int(np.searchsorted(whole[0], whole[0][-1]))
-            if cut:
-                yield walk(*(c[:cut] for c in whole))
-            held, size = [[c[cut:] for c in whole]], len(whole[0]) - cut
+            whole = pa.Table.from_batches(held)
+            path = _array(whole["path"])
+            cut = int(np.searchsorted(path, path[-1]))
+            yield walk(whole.slice(0, cut))
+            held = whole.slice(cut).combine_chunks().to_batches()
+            size = sum(b.nbytes for b in held)
         if held:
-            yield walk(*(np.concatenate(c) for c in zip(*held)))
+            yield walk(pa.Table.from_batches(held))
 
     return run
 
 
-def _links(bits: int, budget: int, within: int | None):
-    def walk(*columns: np.ndarray) -> pa.RecordBatch:
-        a, b = _walk(*columns, bits, budget) if within is None else _checked(*columns, bits, budget, within)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+def _links(bands: Bands):
+    """A spanning forest of the candidates, all of which are links."""
 
-    return _by_subtrie(["path", "rest", "v", *(["sig"] if within is not None else [])], walk)
+    def walk(t: pa.Table) -> pa.RecordBatch:
+        a, b = _walk(*(_array(t[c]) for c in ("path", "rest", "v")), bands.rest_bits, bands.budget)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
+    return _by_subtrie(walk)
 
-def _candidates(bits: int, budget: int, plan: list[tuple[list[int], list[int]]]):
-    longest = max(len(path) for path, _ in plan)
 
-    def walk(path: np.ndarray, rest: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-        at = _meeting(path, rest, v, bits, budget, (path >> longest) % len(plan) == 0)
+def _candidates(bands: Bands):
+    def walk(t: pa.Table) -> pa.RecordBatch:
+        path, rest, v = (_array(t[c]) for c in ("path", "rest", "v"))
+        at = _meeting(path, rest, v, bands.rest_bits, bands.budget, (path >> bands.longest) % len(bands.plan) == 0)
         return pa.RecordBatch.from_arrays([pa.array(c[at]) for c in (path, rest, v)], names=["path", "rest", "v"])
 
-    return _by_subtrie(["path", "rest", "v"], walk)
+    return _by_subtrie(walk)
+
+
+def _shingles(size: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
+                found = [np.unique(shingle_hashes(t or "", size)).view(np.int64) for t in part["raw"].to_pylist()]
+                yield pa.RecordBatch.from_arrays([part["v"], pa.array(found, pa.list_(pa.int64()))], names=["v", "shingles"])
+
+    return run
+
+
+def _bands(n: int, bits: int, budget: int, stride: int, words: int, spare: int) -> Bands:
+    """Bands whose subtries hold few of ``n`` values: ``spare`` blocks agree, or as many more as that takes."""
+    while True:
+        bands = Bands(bits, budget, spare, stride, words)
+        if n >> min(len(path) for path, _ in bands.plan) <= SUBTRIE or budget + spare >= bits:
+            return bands
+        spare += 1
+
+
+def _subtrie_rows(nodes: DataFrame, bands: Bands) -> DataFrame:
+    found = nodes.select("v", "sig").mapInArrow(_subtries(bands), "path long, rest long, v long")
+    return _dealt(found)
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("path").sortWithinPartitions("path")
+
+
+def _roots(work: Workspace, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """Nodes with the root of their component."""
+    reach = connected_components(links, src="a", dst="b")
+    return nodes.join(reach.withColumnRenamed("node", "v"), "v", "left").select("sig", "low", "v", F.coalesce("component", "v").alias("root"))
 
 
 def near_groups(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, words: int = 1, band_bits: int = 64, budget: int = 2, spare: int = 2
+) -> DataFrame:
+    """One row per row of ``docs``: its id, ``signature`` (array of longs), ``component_id``.
+
+    ``component_id`` is the smallest id that links reach, itself included. Texts are lower-cased in A-Z; words are runs
+    of other than white space (09-0D, 20); a text of fewer than ``shingle`` words is one shingle, and one of no words,
+    null included, has signature zero and is linked like any other. Documents link when a band of theirs differs in at
+    most ``budget`` bits. A null id is above all others. An empty table gives an empty result. Other columns are
+    ignored, whatever their names.
+    """
+    work = Workspace(docs.sparkSession, "simhash")
+    base = docs.select(docs[id_col].alias("id"), F.monotonically_increasing_id().alias("rid"), docs[text_col].alias("raw"))
+    shape = base.drop("raw").withColumn("sig", F.array(F.lit(0).cast("long"))).schema
+    rows = work.save(base.mapInArrow(_signatures(shingle, words, ["id", "rid"], False), shape), "signatures")
+    nodes = work.save(rows.groupBy("sig").agg(F.min("id").alias("low"), F.min("rid").alias("v")), "nodes")
+    bands = _bands(nodes.count(), band_bits, budget, band_bits, words, spare)
+    links = work.save(_subtrie_rows(nodes, bands).mapInArrow(_links(bands), "a long, b long").distinct(), "links")
+    root = work.save(_roots(work, nodes, links), "roots")
+    least = root.groupBy("root").agg(F.min("low").alias("component_id"))
+    label = work.save(root.join(least, "root").select("sig", "component_id"), "labels")
+    for done in (nodes, links, root):
+        work.drop(done)
+    return rows.join(label, "sig").select(F.col("id").alias(id_col), F.col("sig").alias("signature"), "component_id")
+
+
+def near_dedup(
     docs: DataFrame,
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
-    shingle: int = 3,
-    words: int = 1,
-    band_bits: int = 64,
+    similarity: float = 0.8,
+    words: int = 8,
+    band_bits: int = 32,
     budget: int = 2,
-    spare: int = 2,
-    within: int | None = None,
-    with_row: bool = False,
+    stride: int = 16,
+    doubt: float = 2.5,
 ) -> DataFrame:
-    """One row per row of ``docs``: its id, ``signature`` (array of longs), ``component_id``, ``first``.
-
-    ``component_id`` is the smallest id that links reach, itself included; ``first``, given with ``with_row``, marks
-    one row of each component, of the rows with that id. Texts are lower-cased in A-Z; words are runs of other than white space (09-0D, 20);
-    a text of fewer than ``shingle`` words is one shingle, and one of no words, null included, has signature zero and
-    is linked like any other. Documents link when a band of theirs differs in at most ``budget`` bits and, with
-    ``within``, the whole signatures in at most so many. A null id is above all others. An empty table gives an empty
-    result. Other columns are ignored, whatever their names, unless ``with_row`` asks for the row as a struct ``row``.
-    """
-    spark = docs.sparkSession
-    work = Workspace(spark, "simhash")
-    base = docs.select(
-        docs[id_col].alias("id"),
-        F.monotonically_increasing_id().alias("rid"),
-        *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if with_row else []),
-        docs[text_col].alias("raw"),
-    )
-    kept = base.drop("raw").columns
-    shape = base.drop("raw").withColumn("sig", F.array(F.lit(0).cast("long"))).schema
-    rows = work.save(base.mapInArrow(_signatures(shingle, words, kept), shape), "signatures")
-    nodes = work.save(rows.groupBy("sig").agg(F.min("id").alias("low"), F.min("rid").alias("v")), "nodes")
-    subtries = nodes.select("v", "sig").mapInArrow(_subtries(band_bits, budget, spare), "path long, rest long, v long")
-    plan = orders(band_bits, budget, spare)
-    rest_bits = max(len(rest) for _, rest in plan)
-    met = subtries.repartition("path").sortWithinPartitions("path")
-    if within is not None:
-        met = met.mapInArrow(_candidates(rest_bits, budget, plan), "path long, rest long, v long")
-        met = met.join(nodes.select("v", "sig"), "v").repartition("path").sortWithinPartitions("path")
-    links = met.mapInArrow(_links(rest_bits, budget, within), "a long, b long").distinct()
-    if within is not None:
-        links = work.save(links, "links")
-    reach = connected_components(links, src="a", dst="b")
-    root = nodes.join(reach.withColumnRenamed("node", "v"), "v", "left").select(
-        "sig", "low", "v", F.coalesce("component", "v").alias("root")
-    )
-    root = work.save(root, "roots")
-    least = root.groupBy("root").agg(F.min("low").alias("component_id"))
-    label = root.join(least, "root").select("sig", "root", "component_id")
-    if not with_row:
-        found = rows.join(label, "sig")
-        return found.select(F.col("id").alias(id_col), F.col("sig").alias("signature"), "component_id")
-    # All but the last join are on numbers; the rows themselves are shuffled once.
-    order = F.struct(F.col("id").isNull().alias("z"), F.col("id").alias("i"), F.col("rid").alias("r"))
-    slim = rows.select("id", "rid", "sig").join(label, "sig").select("id", "rid", "root", "component_id")
-    first = slim.groupBy("root").agg(F.min(order)["r"].alias("rid")).select("rid", F.lit(True).alias("first"))
-    slim = slim.select("rid", "component_id").join(first, "rid", "left")
-    found = rows.join(slim, "rid")
-    return found.select(
-        F.col("id").alias(id_col),
-        F.col("sig").alias("signature"),
-        "component_id",
-        F.coalesce("first", F.lit(False)).alias("first"),
-        "row",
-    )
-
-
-def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = 0.8, words: int = 8) -> DataFrame:
     """The rows of ``docs`` without all but one of each group of near copies, with all their columns.
 
-    Near copies share five-word shingles with a similarity (Jaccard) of at least ``similarity``, as the whole
-    signature of ``words`` times 64 bits estimates it; candidates differ in at most two bits of some 32-bit band. The
-    row with the smallest id stays.
+    Near copies share distinct five-word shingles with a similarity (Jaccard) of at least ``similarity``. Candidates
+    differ in at most ``budget`` bits of some band of their signatures of ``words`` times 64 bits; bands are
+    ``band_bits`` wide and ``stride`` apart. The whole signatures estimate the similarity: candidates that are ``doubt``
+    standard errors above it are linked, those as far below it are not, and the shingles of those between are compared.
+    Of a group the row with the smallest id stays, a null id being the largest; of rows that are alike in id and text
+    one stays. Null texts are empty, and texts without words are near copies of each other. An empty table gives an
+    empty result.
     """
-    cosine = 2 * similarity / (1 + similarity)
-    within = int(round(words * 64 * np.arccos(cosine) / np.pi))
-    groups = near_groups(
-        docs, id_col=id_col, text_col=text_col, shingle=5, words=words, band_bits=32, budget=2, spare=1, within=within, with_row=True
-    )
-    return groups.where("first").select("row.*")
+    spark = docs.sparkSession
+    work = Workspace(spark, "near-dedup")
+    # A row is known by its id and 128 bits of its text, so that rows needn't keep their order between readings.
+    raw = F.coalesce(docs[text_col], F.lit(""))
+    key = {"i": docs[id_col], "x": F.xxhash64(raw), "y": F.xxhash64(F.lit(1), raw)}
+    keyed = docs.select(*[c.alias(n) for n, c in key.items()], docs[text_col].alias("raw"))
+    base = keyed.withColumn("rid", F.monotonically_increasing_id())
+    kept = ["i", "x", "y", "rid"]
+    shape = base.select(*kept).withColumn("sig", F.array(F.lit(0).cast("long"))).schema
+    rows = work.save(base.mapInArrow(_signatures(5, words, kept, True), shape), "signatures")
+    nodes = work.save(rows.groupBy("sig").agg(F.min("i").alias("low"), F.min("rid").alias("v"), F.min_by(F.struct("i", "x", "y"), "rid").alias("key")), "nodes")
+    bands = _bands(nodes.count(), band_bits, budget, stride, words, 1)
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    error = doubt * np.sqrt(words * 64 * share * (1 - share))
+    sure, within = int(words * 64 * share - error), int(np.ceil(words * 64 * share + error))
+    small = nodes.select("v", "sig")
+    met = work.save(_subtrie_rows(nodes, bands).mapInArrow(_candidates(bands), "path long, rest long, v long"), "met")
+    second = _dealt(met.join(small, "v")).mapInArrow(_second(bands, sure, within), "path long, rest long, a long, b long")
+    second = work.save(second, "second")
+    sure_links = second.where("path = -1").select("a", "b").distinct()
+    doubtful = second.where("path >= 0").select("path", "rest", F.col("a").alias("v"), F.col("b").alias("label"))
+    asked = work.save(nodes.join(doubtful.select("v").distinct(), "v", "left_semi").select("v", "key.*"), "asked")
+    sets = _matching(keyed, asked).select("v", "raw").mapInArrow(_shingles(5), "v long, shingles array<long>")
+    sets = work.save(sets.groupBy("v").agg(F.first("shingles").alias("shingles")), "shingles")
+    third = _dealt(doubtful.join(small, "v").join(sets, "v")).mapInArrow(_third(bands, within, similarity), "a long, b long")
+    links = work.save(sure_links.union(third).distinct(), "links")
+    root = work.save(_roots(work, nodes, links), "roots")
+    member = rows.join(root.select("sig", "root"), "sig").select(*kept, "root")
+    order = F.struct(F.col("i").isNull().alias("z"), F.col("i").alias("i"), F.col("rid").alias("r"))
+    first = member.groupBy("root").agg(F.min(order)["r"].alias("rid")).select("rid", F.lit(True).alias("first"))
+    flagged = member.join(first, "rid", "left").groupBy("i", "x", "y").agg(F.count(F.lit(1)).alias("n"), F.bool_or(F.coalesce("first", F.lit(False))).alias("stays"))
+    flagged = work.save(flagged.where("n > 1 or not stays"), "flagged")
+    for done in (rows, nodes, met, second, asked, sets, links, root):
+        work.drop(done)
+    found = _matching(docs, flagged, key, how="left_anti")
+    twins = flagged.where("stays")
+    if not twins.isEmpty():
+        whole = docs.select(*[c.alias(n) for n, c in key.items()], F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+        one = _matching(whole, twins, how="left_semi").groupBy("i", "x", "y").agg(F.first("row").alias("row"))
+        found = found.union(one.select("row.*"))
+    return found
+
+
+def _matching(rows: DataFrame, keys: DataFrame, key: dict | None = None, how: str = "inner") -> DataFrame:
+    """Rows joined to ``keys`` on i, x and y; the keys are broadcast only where they are counted to be few."""
+    names = {n: keys[n].alias(f"key {n}") for n in ("i", "x", "y")}
+    side = keys.select(*names.values(), *[c for c in keys.columns if c not in names])
+    few = F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+    mine = key or {n: rows[n] for n in names}
+    same = mine["i"].eqNullSafe(side["key i"]) & (mine["x"] == side["key x"]) & (mine["y"] == side["key y"])
+    return rows.join(few, same, how)

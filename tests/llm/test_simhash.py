@@ -1,9 +1,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 import xxhash
 
-from cairn.llm.simhash import _checked, _meeting, near_dedup, near_groups, shingle_hashes, signature, spanning_forest, trie_pairs
+from cairn.llm import simhash
+from cairn.llm.simhash import Bands, _checked, _doubtful, _meeting, near_dedup, near_groups, shingle_hashes, signature, spanning_forest, trie_pairs
 
 
 def plain_fingerprint(text, size):
@@ -130,38 +133,115 @@ def family(n, rng):
     return [(i, " ".join(r)) for i, r in enumerate(rows)]
 
 
-def linked_by_brute_force(texts, within):
-    """Components of pairs that differ in at most two bits of some 32-bit band and in ``within`` of all."""
-    sigs = np.array([signature(shingle_hashes(t, 5), 8) for t in texts])
-    bands = sigs.view(np.uint32)
-    label = list(range(len(texts)))
+def jaccard(a, b):
+    a, b = set(shingle_hashes(a, 5).tolist()), set(shingle_hashes(b, 5).tolist())
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def linked_by_brute_force(texts, similarity):
+    """Components of pairs that meet in a band and are surely similar or, where that is in doubt, agree in their shingles."""
+    sigs = np.array([signature(np.unique(shingle_hashes(t, 5)), 8) for t in texts])
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    error = 2.5 * np.sqrt(512 * share * (1 - share))
+    sure, within = int(512 * share - error), int(np.ceil(512 * share + error))
+    label, met, far = list(range(len(texts))), 0, 0
 
     def find(i):
         while label[i] != i:
             i = label[i]
         return i
 
-    met = 0
     for i in range(len(texts)):
-        band = (np.bitwise_count(bands[i] ^ bands[:i]) <= 2).any(axis=1)
-        whole = np.bitwise_count(sigs[i] ^ sigs[:i]).sum(axis=1, dtype=int) <= within
-        met += int(band.sum())
-        for j in np.flatnonzero(band & whole).tolist():
-            a, b = find(i), find(j)
-            label[max(a, b)] = min(a, b)
-    return [find(i) for i in range(len(texts))], met
+        for j in range(i):
+            x = [int(a ^ b) for a, b in zip(sigs[i], sigs[j])]
+            if any((w >> at & 0xFFFFFFFF).bit_count() <= 2 for w in x for at in (0, 16, 32)):
+                met += 1
+                whole = sum(w.bit_count() for w in x)
+                if whole <= sure or whole <= within and jaccard(texts[i], texts[j]) >= similarity:
+                    a, b = find(i), find(j)
+                    label[max(a, b)] = min(a, b)
+                else:
+                    far += 1
+    return [find(i) for i in range(len(texts))], met, far
 
 
 def test_near_dedup_equals_brute_force_in_a_family_of_shared_passages(docs):
     rows = family(240, random.Random(12))
-    want, met = linked_by_brute_force([t for _, t in rows], 53)
+    texts = [t for _, t in rows]
+    want, met, far = linked_by_brute_force(texts, 0.9)
+    want_80, _, _ = linked_by_brute_force(texts, 0.8)
     kept = {r.doc_id for r in near_dedup(docs(*rows), similarity=0.9).collect()}
-    want_80, _ = linked_by_brute_force([t for _, t in rows], 78)
     kept_80 = {r.doc_id for r in near_dedup(docs(*rows)).collect()}
-    assert met > 2 * len(rows) and 1 < len(set(want_80)) < len(set(want)) < len(rows)  # most candidates are no links
+    assert met > 2 * len(rows) and far > met / 2 and 1 < len(set(want_80)) < len(set(want)) < len(rows)  # most candidates are no links
     assert kept == set(want) and kept_80 == set(want_80)
 
 
+def test_near_dedup_finds_what_is_similar(docs):
+    rng = random.Random(21)
+    words = [f"w{k}" for k in range(3000)]
+    rows, similar, other = [], [], []
+    for k in range(150):
+        base = [rng.choice(words) for _ in range(rng.randint(60, 400))]
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), max(1, len(copy) // rng.choice([20, 25, 40, 50, 60, 80]))):
+            copy[at] = "changed"
+        pair = (" ".join(base), " ".join(copy))
+        rows += [(2 * k, pair[0]), (2 * k + 1, pair[1])]
+        (similar if jaccard(*pair) >= 0.8 else other).append(2 * k + 1)
+    kept = {r.doc_id for r in near_dedup(docs(*rows)).collect()}
+    assert len(similar) > 30 and len(other) > 30 and {2 * k for k in range(150)} <= kept
+    assert sum(i in kept for i in similar) <= 0.1 * len(similar) and sum(i not in kept for i in other) <= 0.05 * len(other)
+
+
+def test_a_failing_owner_of_an_equal_band_loses_no_link():
+    """Values 0, 1 and 2 meet with equal bands; only 1 and 2 are similar."""
+    rng = np.random.default_rng(5)
+    bands = Bands(32, 2, 1, 16, 8)
+    sig = rng.integers(0, 2**64, (1, 8), dtype=np.uint64).repeat(3, axis=0)
+    sig[0, 1:] ^= rng.integers(0, 2**64, 7, dtype=np.uint64)
+    sig[2, 5] ^= np.uint64(0xFFFF)  # 16 bits: sure; with the next word 80: in doubt
+    path, rest = np.zeros(3, np.int64), np.zeros(3, np.int64)
+    a, b = _checked(path, rest, np.arange(3), sig, bands.rest_bits, 2, 58)
+    assert {(a[0], b[0])} in ({(1, 2)}, {(2, 1)})
+    sig[2, 6] ^= np.uint64(2**64 - 1)
+    pairs = [set(p) for x in _doubtful(path, rest, np.arange(3), np.ascontiguousarray(sig.T), bands, 98, np.arange(3)) for p in zip(*(c.tolist() for c in x))]
+    assert pairs and all(p == {1, 2} for p in pairs)
+
+
+@pytest.mark.parametrize("dense", [4096, 3])
+def test_doubtful_pairs_equal_brute_force(monkeypatch, dense):
+    monkeypatch.setattr(simhash, "DENSE", dense)
+    rng = np.random.default_rng(6)
+    bands = Bands(32, 2, 1, 16, 2)
+    base = rng.integers(0, 2**64, (6, 2), dtype=np.uint64)
+    sig = base[rng.integers(0, 6, 90)]
+    for _ in range(5):
+        sig[np.arange(90), rng.integers(0, 2, 90)] ^= np.uint64(1) << rng.integers(0, 64, 90, dtype=np.uint64)
+    first = bands.first_tree(np.repeat(sig, 90, axis=0).T, np.tile(sig, (90, 1)).T).reshape(90, 90)
+    assert all(first[i, i] == 0 for i in range(90))
+    whole = np.bitwise_count(sig[:, None] ^ sig).sum(axis=2, dtype=int)
+    label = rng.integers(0, 2, 90) * 89
+    label[89] = 89
+    label[0] = 0
+    want = {(i, j) for i in range(90) for j in range(i) if first[i, j] < 12 * 1 + 6 and whole[i, j] <= 12 and label[i] != label[j]}
+    rows = pa.RecordBatch.from_arrays([pa.array(np.arange(90)), pa.array(sig.view(np.int64).tolist())], names=["v", "sig"])
+    trees = pa.Table.from_batches(simhash._subtries(bands)([rows]))
+    path, rest, v = (trees[c].to_numpy() for c in ("path", "rest", "v"))
+    by = np.lexsort((v, rest, path))
+    path, rest, v = path[by], rest[by], v[by]
+    # A row's places in all subtries are vertices of their own; those of one class are connected within a subtrie.
+    at = np.unique(np.stack([path, label[v]]), axis=1, return_index=True, return_inverse=True)
+    found = [(int(v[p]), int(v[q])) for ps, qs in _doubtful(path, rest, v, np.ascontiguousarray(sig[v].T), bands, 12, at[1][at[2].reshape(-1)]) for p, q in zip(ps, qs)]
+    assert want and {(max(p), min(p)) for p in found} == want
+
+
+def test_repeated_keys_and_odd_rows(docs):
+    text = "a text of some words that is long enough for shingles of five words"
+    rows = [(1, text), (1, text), (None, text + " end"), (None, ""), (7, None), (7, ""), (9, "\n\t"), (5, "one"), (6, "ONE"), (8, "x " * 9000 + text)]
+    kept = near_dedup(docs(*rows))
+    assert sorted((r.doc_id, (r.text or "")[:3]) for r in kept.collect()) == [(1, "a t"), (5, "one"), (7, ""), (8, "x x")]
+
+
 def test_checked_walk_equals_brute_force(monkeypatch):
     rng = np.random.default_rng(8)
     n = 400
