@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 
 from cairn import schemas
 from cairn.functions.scalars import distinct_text
+from cairn.operators.hot import join_totals
+from cairn.session import Workspace
 
 
 def group_columns(df: DataFrame, by: Sequence[str], columns: dict[str, Column]) -> DataFrame:
     """Aggregates of a row's group, added to each of its rows.
 
-    They are made by a grouped aggregate with partial sums and joined back, where a window would send all rows of a
-    hot group, with all their columns, to one task.
+    They are made by a grouped aggregate with partial sums, written, and joined back without gathering a hot group,
+    where a window would send all its rows, with all their columns, to one task.
     """
-    keys = [f"group {i}" for i in range(len(by))]
-    totals = df.groupBy(*by).agg(*[c.alias(n) for n, c in columns.items()])
-    totals = totals.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], *columns)
-    same = [F.col(f"`{b}`").eqNullSafe(F.col(f"`{k}`")) for b, k in zip(by, keys)]
-    return df.join(totals, same, "left").drop(*keys)
+    totals = df.groupBy(*by).agg(*[c.alias(n) for n, c in columns.items()], F.count(F.lit(1)).alias("rows of group"))
+    totals = Workspace(df.sparkSession, "group-columns").save(totals, "totals")
+    plain = [f"`{f.name}`" for f in df.schema if "map<" not in f.dataType.simpleString()]
+    return join_totals(df, totals, by, size="rows of group", salt=F.xxhash64(*plain)).drop("rows of group")
 
 
 def first_by(df: DataFrame, by: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
