@@ -5,8 +5,8 @@ and splits each group by it; a group of one row, or one whose texts have ended,
 bytes alone, never by a digest.
 
 Only counts per (group, digit) are aggregated, with partial sums on the map side, so a group that holds a third of all
-rows costs one row per task; the join that brings a count back to its rows is an ordinary equi-join that the adaptive
-skew join can split. Every round is written to the shared folder, and holds only the rows that still share all their
+rows costs one row per task. The counts of hot groups come back to their rows by broadcast, those of others by an
+equi-join in which the rows of hot groups are dealt out to all tasks. Every round is written to the shared folder, and holds only the rows that still share all their
 bytes so far with another row, and only the bytes that were not looked at yet.
 """
 
@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.operators.hot import join_totals
 from cairn.session import Workspace
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -59,8 +60,9 @@ def exact_groups(
         .agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("group"))
         .where("n > 1")
     )
+    shared = work.save(shared, "counts")
     body = F.translate("raw", UPPER, LOWER)
-    rows = base.join(shared, ["size", "digit"], "left")
+    rows = join_totals(base, shared, ["size", "digit"], size="n", salt=F.col("rid"))
     current = work.save(
         rows.select(
             "id",
@@ -77,6 +79,7 @@ def exact_groups(
         ),
         "round",
     )
+    work.drop(shared)
     done = [current.where("closed").withColumn("keep", F.col("id"))]
     at, width = first_digit, first_digit * growth
     while not (open_rows := current.where("not closed")).isEmpty():
@@ -86,7 +89,8 @@ def exact_groups(
             F.max(F.struct(F.col("id"), (-F.col("rid")).alias("r"))).alias("winner"),
             F.min("rid").alias("next"),
         )
-        rows = open_rows.join(split, ["group", "digit"])
+        split = work.save(split, "counts")
+        rows = join_totals(open_rows, split, ["group", "digit"], size="members", salt=F.col("rid"), how="inner")
         closed = (F.col("members") == 1) | (F.col("size") <= at + width)
         current = work.save(
             rows.select(
@@ -104,6 +108,7 @@ def exact_groups(
             ),
             "round",
         )
+        work.drop(split)
         done.append(current.where("closed"))
         at, width = at + width, width * growth
     out = None

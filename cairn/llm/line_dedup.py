@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.llm.rows import row_key
+from cairn.operators.hot import hot_groups, join_totals
 from cairn.session import Workspace
 
 #: log2 of a sketch's registers; three standard errors are what an estimate is trusted to.
@@ -32,15 +34,21 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))
 
 
-def boilerplate(lines: DataFrame, *, min_sites: int) -> DataFrame:
-    """Keys of lines on at least ``min_sites`` sites; ``lines`` has ``key`` and ``site``."""
-    spread = lines.groupBy("key").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(REGISTERS))).alias("sites"))
+def boilerplate(lines: DataFrame, work: Workspace, *, min_sites: int) -> DataFrame:
+    """Keys of lines on at least ``min_sites`` sites, with their number ``n`` of rows; ``lines`` has ``key`` and ``site``.
+
+    A hot line that is clearly spread leaves before any line is dealt out by key, by a broadcast of bounded size; then
+    a line comes once for each of its sites.
+    """
+    spread = lines.groupBy("key").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(REGISTERS))).alias("sites"), F.count(F.lit(1)).alias("n"))
     band = max(1, math.ceil(ERROR * min_sites))
-    spread = spread.where(F.col("sites") >= min_sites - band)
-    far = spread.where(F.col("sites") > min_sites + band).select("key")
-    near = spread.where(F.col("sites") <= min_sites + band).select("key")
-    exact = lines.join(near, "key", "left_semi").groupBy("key").agg(F.count_distinct("site").alias("n"))
-    return far.union(exact.where(F.col("n") >= min_sites).select("key"))
+    spread = work.save(spread.where(F.col("sites") >= min_sites - band), "spread")
+    far = F.col("sites") > min_sites + band
+    hot = hot_groups(spread, "n").where(far).select("key")
+    near = spread.where(~far).select("key", "n")
+    pairs = lines.join(F.broadcast(hot), "key", "left_anti").select("key", "site").distinct()
+    exact = pairs.join(near, "key").groupBy("key").agg(F.count(F.lit(1)).alias("exact"), F.first("n").alias("n"))
+    return spread.where(far).select("key", "n").union(exact.where(F.col("exact") >= min_sites).select("key", "n"))
 
 
 def line_dedup(
@@ -54,16 +62,20 @@ def line_dedup(
     An empty table gives an empty result; other columns are ignored, whatever their names.
     """
     work = Workspace(docs.sparkSession, "line-dedup")
+    key = row_key(docs, id_col, text_col)
     base = docs.select(
-        docs[id_col].alias("doc"), docs[text_col].alias("raw"), F.coalesce(docs[site_col].cast("string"), F.lit("\0")).alias("site")
+        *[c.alias(n) for n, c in key.items()], docs[text_col].alias("raw"), F.coalesce(docs[site_col].cast("string"), F.lit("\0")).alias("site")
     )
     distinct = F.array_distinct(F.filter(F.transform(_lines(F.col("raw")), _trimmed), lambda x: x != ""))
-    lines = base.select("doc", "site", F.explode(F.transform(distinct, _key)).alias("key"))
+    lines = base.select("i", "x", "y", "site", F.explode(F.transform(distinct, _key)).alias("key"))
     lines = work.save(lines, "lines")
-    gone = work.save(boilerplate(lines, min_sites=min_sites), "boilerplate")
-    marked = lines.join(gone, "key").groupBy("doc").agg(F.collect_set("key").alias("gone"))
-    marked = marked.withColumnRenamed("doc", "of")
-    found = base.join(marked, F.col("doc").eqNullSafe(F.col("of")), "left").withColumn("lines", _lines(F.col("raw")))
+    gone = work.save(boilerplate(lines, work, min_sites=min_sites), "boilerplate")
+    marked = join_totals(lines.select("i", "x", "y", "key"), gone, ["key"], size="n", salt=F.col("x"), how="inner")
+    marked = marked.groupBy("i", "x", "y").agg(F.collect_set("key").alias("gone"))
+    marked = work.save(marked.select(F.col("i").alias("of"), F.col("x").alias("ox"), F.col("y").alias("oy"), "gone"), "marked")
+    work.drop(lines)
+    same = F.col("i").eqNullSafe(F.col("of")) & (F.col("x") == F.col("ox")) & (F.col("y") == F.col("oy"))
+    found = base.join(marked, same, "left").select(F.col("i").alias("doc"), "raw", "gone", _lines(F.col("raw")).alias("lines"))
 
     def removed(line: Column) -> Column:
         return F.coalesce(F.array_contains(F.col("gone"), _key(_trimmed(line))), F.lit(False))

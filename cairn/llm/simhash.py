@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.llm.rows import matching, row_key
 from cairn.operators.graph import connected_components
 from cairn.session import Workspace
 
@@ -39,8 +40,6 @@ SEED = 42
 FRONTIER, CHUNK = 400_000, 1 << 24
 #: Values that a subtrie should hold at most: beyond it more blocks must agree, so that paths are longer.
 SUBTRIE = 50_000
-#: Rows of keys that a task may hold for a broadcast join. Beyond it the join is shuffled.
-BROADCAST_ROWS = 1_000_000
 #: Signature pairs compared at a time; pairs of two groups of equal values beyond which these are searched by breadth.
 CELLS, DENSE = 500_000, 4096
 
@@ -675,8 +674,7 @@ def near_dedup(
     spark = docs.sparkSession
     work = Workspace(spark, "near-dedup")
     # A row is known by its id and 128 bits of its text, so that rows needn't keep their order between readings.
-    raw = F.coalesce(docs[text_col], F.lit(""))
-    key = {"i": docs[id_col], "x": F.xxhash64(raw), "y": F.xxhash64(F.lit(1), raw)}
+    key = row_key(docs, id_col, text_col)
     keyed = docs.select(*[c.alias(n) for n, c in key.items()], docs[text_col].alias("raw"))
     base = keyed.withColumn("rid", F.monotonically_increasing_id())
     kept = ["i", "x", "y", "rid"]
@@ -694,7 +692,7 @@ def near_dedup(
     sure_links = second.where("path = -1").select("a", "b").distinct()
     doubtful = second.where("path >= 0").select("path", "rest", F.col("a").alias("v"), F.col("b").alias("label"))
     asked = work.save(nodes.join(doubtful.select("v").distinct(), "v", "left_semi").select("v", "key.*"), "asked")
-    sets = _matching(keyed, asked).select("v", "raw").mapInArrow(_shingles(5), "v long, shingles array<long>")
+    sets = matching(keyed, asked).select("v", "raw").mapInArrow(_shingles(5), "v long, shingles array<long>")
     sets = work.save(sets.groupBy("v").agg(F.first("shingles").alias("shingles")), "shingles")
     third = _dealt(doubtful.join(small, "v").join(sets, "v")).mapInArrow(_third(bands, within, similarity), "a long, b long")
     links = work.save(sure_links.union(third).distinct(), "links")
@@ -706,20 +704,10 @@ def near_dedup(
     flagged = work.save(flagged.where("n > 1 or not stays"), "flagged")
     for done in (rows, nodes, met, second, asked, sets, links, root):
         work.drop(done)
-    found = _matching(docs, flagged, key, how="left_anti")
+    found = matching(docs, flagged, key, how="left_anti")
     twins = flagged.where("stays")
     if not twins.isEmpty():
         whole = docs.select(*[c.alias(n) for n, c in key.items()], F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-        one = _matching(whole, twins, how="left_semi").groupBy("i", "x", "y").agg(F.first("row").alias("row"))
+        one = matching(whole, twins, how="left_semi").groupBy("i", "x", "y").agg(F.first("row").alias("row"))
         found = found.union(one.select("row.*"))
     return found
-
-
-def _matching(rows: DataFrame, keys: DataFrame, key: dict | None = None, how: str = "inner") -> DataFrame:
-    """Rows joined to ``keys`` on i, x and y; the keys are broadcast only where they are counted to be few."""
-    names = {n: keys[n].alias(f"key {n}") for n in ("i", "x", "y")}
-    side = keys.select(*names.values(), *[c for c in keys.columns if c not in names])
-    few = F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
-    mine = key or {n: rows[n] for n in names}
-    same = mine["i"].eqNullSafe(side["key i"]) & (mine["x"] == side["key x"]) & (mine["y"] == side["key y"])
-    return rows.join(few, same, how)
