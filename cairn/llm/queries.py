@@ -117,9 +117,9 @@ ORACLE = {
                          from documents)),
         i as (select item_id, unnest(w) as w, generate_subscripts(w, 1) as p, len(w) as n
               from (select item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w
-                    from benchmark) where len(w) >= 8),
+                    from benchmark)),
         m as (select doc_id, item_id, n, d.p - i.p as shift, i.p as pos from d join i using (w)),
-        near as (select doc_id, item_id, shift, count(*) as matched from m group by all having count(*) >= 8),
+        near as (select doc_id, item_id, shift, count(*) as matched from m group by all having count(*) >= least(n, 8)),
         win as (select *, count(*) over (partition by doc_id, item_id, shift order by pos
                                          range between current row and 12 following) as w
                 from m join near using (doc_id, item_id, shift))

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from cairn.llm.decontaminate import LEAST, MASKS, MISSES, WINDOW, decontaminate, overlaps
+from cairn.llm.decontaminate import MASKS, MISSES, WINDOW, covered, decontaminate, overlaps
 
 ITEM = "item_id long, text string, doc_id string"
 
@@ -20,16 +20,16 @@ def test_masks_hit_every_window():
         )
 
 
-def brute(rows, bench):
+def brute(rows, bench, short_misses=0):
     cut = lambda t: [w for w in re.split(r"[^\w]+|_", (t or "").lower()) if w]
     found = {}
     for d, t in rows:
         for i, b in bench:
             words, item = cut(t), cut(b)
-            if len(item) < LEAST:
+            if not item:
                 continue
             width = min(WINDOW, len(item))
-            need = WINDOW - MISSES if len(item) >= WINDOW else len(item)
+            need = WINDOW - MISSES if len(item) >= WINDOW else len(item) - (short_misses if len(item) >= 8 else 0)
             for shift in range(-len(item), len(words)):
                 same = [0 <= j + shift < len(words) and words[j + shift] == w for j, w in enumerate(item)]
                 best = max(sum(same[k : k + width]) for k in range(len(item) - width + 1))
@@ -65,7 +65,7 @@ def test_equals_brute_force(docs, spark, case):
 
 def test_shuffled_join_gives_the_same(docs, spark, case, monkeypatch):
     rows, bench = case
-    monkeypatch.setattr("cairn.llm.decontaminate.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("cairn.llm.rows.BROADCAST_ROWS", -1)
     assert overlaps(docs(*rows), items(spark, *bench)).count() == len(brute(rows, bench))
 
 
@@ -87,3 +87,33 @@ def test_pieces_at_the_edges_of_documents(docs, spark):
     want = brute(rows, bench)
     assert {d for d, _ in want} == {1, 2, 3, 4, 5, 7} and {(r.doc_id, r.item_id): (r.matched, r.window_matched) for r in found} == want
     assert sorted(r.doc_id for r in decontaminate(docs(*rows), items(spark, *bench)).collect()) == [6, 8]
+
+
+def test_short_items(docs, spark):
+    item = [f"s{k}" for k in range(12)]
+    bench = [(n, " ".join(item[:n])) for n in range(1, 13)] + [(20, "!!"), (21, None)]
+    rows = [(1, " ".join(item)), (2, " ".join(item[:5])), (3, "s0"), (4, "x s0, S1 y"), (5, "s1 s2 s3 s4"), (6, " ".join([*item[:3], "z", *item[4:9]])), (7, " ".join(["a"] * 3 + item[:8]))]
+    found = overlaps(docs(*rows), items(spark, *bench)).collect()
+    want = brute(rows, bench)
+    assert {(r.doc_id, r.item_id): (r.matched, r.window_matched) for r in found} == want
+    assert {i for d, i in want if d == 1} == set(range(1, 13)) and {i for d, i in want if d == 2} == set(range(1, 6)) and (3, 1) in want
+
+
+def test_substitutions_in_short_items(docs, spark):
+    item = [f"s{k}" for k in range(12)]
+    assert covered(12, 1) and covered(WINDOW, MISSES) and not covered(8, 1)
+    rows = [(k, " ".join(["a", *item[:k], "swapped", *item[k + 1 :], "b"])) for k in range(12)] + [(50, " ".join([*item[:3], "x", "y", *item[5:]]))]
+    bench = [(1, " ".join(item)), (2, "s0 s1 s2 never")]
+    found = overlaps(docs(*rows), items(spark, *bench), short_misses=1).collect()
+    assert {(r.doc_id, r.item_id): (r.matched, r.window_matched) for r in found} == brute(rows, bench, 1)
+    assert len(found) == 12
+    with pytest.raises(ValueError):
+        overlaps(docs(*rows), items(spark, (1, " ".join(item[:8]))), short_misses=1)
+
+
+def test_long_text_with_many_hits(docs, spark):
+    passage = " ".join(f"p{k}" for k in range(15))
+    rows = [(1, f"{passage} and " * 600), (None, f"{passage} x"), (None, "clean"), (1, "another row of the id")]
+    bench = [(1, passage), (2, passage), (3, " ".join(passage.split()[:9] + ["q"] * 6))]
+    found = overlaps(docs(*rows), items(spark, *bench)).collect()
+    assert sorted((str(r.doc_id), r.item_id, r.matched) for r in found) == [("1", 1, 15), ("1", 2, 15), ("None", 1, 15), ("None", 2, 15)]
