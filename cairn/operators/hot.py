@@ -17,12 +17,13 @@ def hot_groups(totals: DataFrame, size: str) -> DataFrame:
     return totals.where(F.col(size) * SHARE > whole)
 
 
-def join_totals(rows: DataFrame, totals: DataFrame, on: Sequence[str], *, size: str, salt: Column, how: str = "left") -> DataFrame:
+def join_totals(rows: DataFrame, totals: DataFrame, on: Sequence[str], *, size: str, salt: Column, how: str = "left", merge: bool = False) -> DataFrame:
     """Rows with the columns that ``totals``, one row by group, has besides the keys ``on``; ``how`` is left or inner.
 
     Totals of hot groups are broadcast, their number being bounded. All other rows meet their totals by an equi-join in
     which the rows of hot groups are dealt out by ``salt``, a number that rows of a group differ in, so that no task
     gets a hot group. ``totals`` is read three times and should be a written table. Null keys equal each other.
+    ``merge`` keeps to a shuffled join where the plan might broadcast small totals, so that cost grows evenly.
     """
     values = [c for c in totals.columns if c not in on]
     hot = hot_groups(totals, size)
@@ -35,6 +36,7 @@ def join_totals(rows: DataFrame, totals: DataFrame, on: Sequence[str], *, size:
         F.struct(*[F.col(f"`{c}`") for c in values]).alias("cold totals"),
         (F.col(f"`{size}`") - F.col(f"`{size}`")).cast("long").alias("cold salt"),  # 0, but no constant that leaves the key
     )
+    cold = cold.hint("merge") if merge else cold
     same = [marked[f"`{c}`"].eqNullSafe(cold[f"cold key {k}"]) for k, c in enumerate(on)]
     found = marked.join(cold, [*same, F.col("hot salt") == F.col("cold salt")], "left")
     found = found.withColumn("totals of group", F.coalesce("hot totals", "cold totals"))
