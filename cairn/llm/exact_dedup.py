@@ -62,7 +62,7 @@ def exact_groups(
     )
     shared = work.save(shared, "counts")
     body = F.translate("raw", UPPER, LOWER)
-    rows = join_totals(base, shared, ["size", "digit"], size="n", salt=F.col("rid"))
+    rows = join_totals(base, shared, ["size", "digit"], size="n", salt=F.col("rid"), merge=True)
     current = work.save(
         rows.select(
             "id",
@@ -90,7 +90,7 @@ def exact_groups(
             F.min("rid").alias("next"),
         )
         split = work.save(split, "counts")
-        rows = join_totals(open_rows, split, ["group", "digit"], size="members", salt=F.col("rid"), how="inner")
+        rows = join_totals(open_rows, split, ["group", "digit"], size="members", salt=F.col("rid"), how="inner", merge=True)
         closed = (F.col("members") == 1) | (F.col("size") <= at + width)
         current = work.save(
             rows.select(

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from cairn.llm.arrays import RUN_SCHEMA, Counted, Folder, merge, mixed, runs, summed
+from cairn.llm.memory import lean
 from cairn.session import Workspace
 
 #: The end token; it holds white space, so no word equals it.
@@ -53,6 +54,7 @@ def _word_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _count_words(shards: int):
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[bytes] = Counter()
 
@@ -108,6 +110,7 @@ def _pair_shard(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def _count_pairs(vocabulary: Counted, shards: int):
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, held, size = Ids(vocabulary), [], 0
 
@@ -133,6 +136,7 @@ def _count_pairs(vocabulary: Counted, shards: int):
 def _statistics(pairs: Counted):
     """By word id: as a context, its continuations seen once, twice and more often; as a continuation, its contexts."""
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number in batch["id"].to_pylist():
@@ -172,6 +176,7 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
 def _pages(uri: str, d: tuple, lower: tuple, total: int, size: int, totals: Counted, first_total: int):
     """Write the arrays by id: ``weight`` of a context's lower order, ``lower`` probability of a word."""
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folder, page, held = Folder(uri), None, []
 
@@ -278,6 +283,7 @@ def train(docs: DataFrame, *, text_col: str = "text", shards: int | None = None)
 
 
 def _score(model: Model, kind: pa.DataType):
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, size, total = Ids(model.vocabulary), len(model.vocabulary), model.tokens
         d1, d2, d3 = model.discounts

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from cairn.llm.memory import lean
+
 #: Texts of a batch of rows, units that are remembered, and their longest length.
 ROWS, REMEMBERED, LONGEST = 256, 300_000, 64
 #: A space beside other white space; elsewhere a space starts a unit that is encoded on its own.
@@ -190,6 +192,7 @@ def _pack(path: str, capacity: int, end_id: int, most_open: int, kind: pa.DataTy
     end = np.array([end_id], "<u4").tobytes()
     types = [kind, *[pa.int64()] * 2, pa.binary(), *[pa.int64()] * 4]
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         packer = Packer(capacity, most_open)
@@ -220,6 +223,7 @@ def _pack(path: str, capacity: int, end_id: int, most_open: int, kind: pa.DataTy
         emit(packer.drain())
         if rows:
             yield flush()
+        bpe.clear()  # the next task of this worker may be another operator's
 
     return run
 

@@ -31,13 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.llm.memory import lean
 from cairn.llm.rows import matching, row_key
 from cairn.operators.graph import connected_components
 from cairn.session import Workspace
 
 SEED = 42
 #: Node pairs walked at a time, and bytes of whole subtries gathered for one walk.
-FRONTIER, CHUNK = 400_000, 1 << 24
+FRONTIER, CHUNK = 150_000, 1 << 23
 #: Values that a subtrie should hold at most: beyond it more blocks must agree, so that paths are longer.
 SUBTRIE = 50_000
 #: Signature pairs compared at a time; pairs of two groups of equal values beyond which these are searched by breadth.
@@ -83,6 +84,7 @@ def _signatures(size: int, words: int, kept: list[str], distinct: bool):
         found = shingle_hashes(text or "", size)
         return np.unique(found) if distinct else found
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sigs = [signature(hashes(t), words).view(np.int64) for t in batch["raw"].to_pylist()]
@@ -167,6 +169,7 @@ class Bands:
 
 
 def _subtries(bands: Bands):
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
@@ -276,7 +279,7 @@ class _Forest:
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
         self.pairs.append((a, b))
         self.held += len(a)
-        if self.held > 2_000_000:
+        if self.held > 500_000:
             self.pairs, self.held = [self.edges()], 0
 
     def edges(self) -> tuple[np.ndarray, np.ndarray]:
@@ -547,6 +550,7 @@ def _array(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 def _by_subtrie(walk: Callable[[pa.Table], pa.RecordBatch]):
     """Walks over rows that come ordered by their column ``path``; each takes whole subtries."""
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
@@ -589,6 +593,7 @@ def _candidates(bands: Bands):
 
 
 def _shingles(size: int):
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), 256):

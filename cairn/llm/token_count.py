@@ -21,6 +21,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from cairn.llm.memory import lean
+
 MARK = "▁"
 WORD = re.compile(f"{MARK}*[^{MARK}]*")
 #: Score of an unknown character below the lowest piece, words remembered, and their longest length.
@@ -115,6 +117,7 @@ def counter(path: str) -> Viterbi:
 
 
 def _count(path: str):
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         viterbi = counter(path)
         for batch in batches:

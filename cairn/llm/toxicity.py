@@ -21,6 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.llm.memory import lean
+
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Lengths of word beginnings that are features, besides the word; remembered words; texts at a time; entries of a matrix at a time.
 BEGINNINGS, REMEMBERED, ROWS, ENTRIES = (4, 5, 6, 7, 8), 50_000, 256, 500_000
@@ -234,6 +236,7 @@ def train(
 
 
 def _score(model: Model):
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Features(frozenset(model.weights))
         for batch in batches:
@@ -261,6 +264,7 @@ def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", thresho
     """The rows of ``docs`` with a score below ``threshold``, with all their columns."""
     row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("raw"))
 
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = [s for part in _score(model)([pa.RecordBatch.from_arrays([batch["row"], batch["raw"]], names=["doc", "raw"])]) for s in part["score"].to_pylist()]
