@@ -17,14 +17,18 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is no text of the page.
-SKIPPED = frozenset("script style template noscript iframe object svg math canvas head title textarea select datalist audio video".split())
+SKIPPED = frozenset("script style template iframe canvas head title textarea select datalist audio video annotation annotation-xml desc metadata".split())
 #: Of these nothing is shown, not even a space.
-UNSEEN = frozenset("script style template noscript head title".split())
+UNSEEN = frozenset("script style template head title annotation annotation-xml desc metadata".split())
 #: Of these the content is not read as markup.
-RAW = frozenset("script style textarea title iframe noscript".split())
+RAW = frozenset("script style textarea title iframe".split())
+#: Where another element starts, an open head ends.
+IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup "
-    "time tt u var wbr br img input button output meter progress picture source nobr".split()
+    "time tt u var wbr br img input button output meter progress picture source nobr "
+    "math semantics mi mn mo mrow ms mspace mtext mfrac mroot msqrt msub msup msubsup mover munder munderover mfenced menclose mpadded mphantom mstyle "
+    "svg g text tspan textpath defs use symbol path rect circle ellipse line polyline polygon object noscript".split()
 )
 #: An open element of the left kind ends where an element of the right kind starts.
 ENDS = {
@@ -40,6 +44,11 @@ ENDS = {
     "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
     "option": frozenset(["option", "optgroup"]),
 }
+#: The elements that a start tag can end.
+ENDED: dict[str, tuple[str, ...]] = {}
+for _open, _starts in ENDS.items():
+    for _start in _starts:
+        ENDED[_start] = (*ENDED.get(_start, ()), _open)
 #: An element isn't ended through one of these.
 SCOPE = frozenset("table td th ul ol dl body html".split())
 
@@ -68,24 +77,63 @@ def attribute_tokens(attrs: dict[str, str]) -> frozenset[str]:
     return frozenset(PART.findall(found.lower()))
 
 
+class _Open:
+    """The open elements, with what is asked of them kept at hand: their places by tag, scopes and nodes."""
+
+    def __init__(self):
+        self.tags: list[str] = ["#root"]
+        self.numbers: list[int] = [0]
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = []  # places of scopes, bodies left out
+        self.owners: list[int] = [0]  # numbers of the nodes among them
+        self.links = 0
+
+    def push(self, tag: str, number: int) -> None:
+        self.places.setdefault(tag, []).append(len(self.tags))
+        if tag in SCOPE and tag != "body":
+            self.scopes.append(len(self.tags))
+        self.tags.append(tag)
+        self.numbers.append(number)
+        if number >= 0:
+            self.owners.append(number)
+        self.links += tag == "a"
+
+    def pop(self) -> tuple[str, int]:
+        tag, number = self.tags.pop(), self.numbers.pop()
+        self.places[tag].pop()
+        if self.scopes and self.scopes[-1] == len(self.tags):
+            self.scopes.pop()
+        if number >= 0:
+            self.owners.pop()
+        self.links -= tag == "a"
+        return tag, number
+
+    def last(self, tag: str) -> int:
+        """The place of the innermost open element of that tag, or 0."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
+    def scope(self) -> int:
+        return self.scopes[-1] if self.scopes else 0
+
+
 def parse(source: str) -> list[Node]:
-    """Nodes in page order; the first is the root. Runs of text have the tag ``#text`` and no children."""
+    """Nodes in page order; the first is the root. Runs of text have the tag ``#text`` and no children.
+
+    An inline element without telling attributes has no node and cuts no run. The time is linear in the page, however
+    deep it is nested.
+    """
     nodes = [Node("#root", -1, 0)]
-    stack: list[tuple[str, int]] = [("#root", 0)]  # open elements; an inline one without a node of its own has -1
-    links = 0
+    opened = _Open()
     block = 0
-    skip = ""
-    deep = 0
+    skip, inside = "", {}  # the skipped element, and what is open within it
     pieces: list[tuple[str, bool]] = []
 
-    def owner() -> int:
-        return next(n for _, n in reversed(stack) if n >= 0)
-
     def flush() -> None:
         if pieces:
             text = "".join(t for t, _ in pieces)
             if text and not text.isspace():
-                at = owner()
+                at = opened.owners[-1]
                 linked = sum(len("".join(t.split())) for t, within in pieces if within)
                 nodes[at].children.append(len(nodes))
                 nodes.append(Node("#text", at, nodes[at].depth + 1, text=text, block=block, linked=linked))
@@ -94,57 +142,69 @@ def parse(source: str) -> list[Node]:
             pieces.clear()
 
     def close(at: int) -> None:
-        nonlocal block, links
-        flush()
-        for tag, number in reversed(stack[at:]):
-            links -= tag == "a"
+        nonlocal block
+        while len(opened.tags) > at:
+            if opened.numbers[-1] >= 0:
+                flush()
+            tag, number = opened.pop()
             if number >= 0 and nodes[number].tag not in INLINE:
                 block += 1
-        del stack[at:]
 
     last = 0
     for m in TOKEN.finditer(source):
         if m.start() < last:
             continue
         if not skip and m.start() > last:
-            pieces.append((html.unescape(source[last : m.start()]), links > 0))
+            pieces.append((html.unescape(source[last : m.start()]), opened.links > 0))
         last = m.end()
         tag = (m["tag"] or "").lower()
         if not tag:
             continue
         ending = bool(m["close"])
         if skip:
-            if tag == skip:
-                deep += -1 if ending else 1
-                if deep == 0:
+            over = False
+            if skip == "head":
+                over = ending and tag == "head"
+                if over or not ending and tag not in IN_HEAD and tag != "head":
+                    skip = ""
+            elif ending:
+                if inside.get(tag):
+                    inside[tag] -= 1
+                elif tag == skip:
+                    skip, over = "", True
+                elif opened.last(tag):  # an outer element ends, and with it the skipped one
                     skip = ""
-            elif skip == "head" and tag == "body" and not ending:
-                skip = ""
+                else:
+                    continue
+            elif tag not in VOID:
+                inside[tag] = inside.get(tag, 0) + 1
             if skip:
                 if not ending and tag in RAW:
-                    end = re.compile(rf"</{tag}\s*", re.I).search(source, last)
-                    last = end.start() if end else len(source)
+                    end = re.compile(rf"</{tag}\s*>?", re.I).search(source, last)
+                    last = end.end() if end else len(source)
+                    inside.pop(tag, None)
                 continue
-            if ending:
+            if over:
                 continue
         if ending:
             if tag == "br":
                 pieces.append((" ", False))
                 continue
-            at = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-            if at and not (tag not in SCOPE and any(t in SCOPE and t not in ("body", "html") for t, _ in stack[at + 1 :]) and tag in INLINE):
+            at = opened.last(tag)
+            # An inline element isn't ended through a list or table.
+            if at and not (tag in INLINE and opened.scope() > at):
                 close(at)
             continue
         if tag in SKIPPED:
             if tag not in UNSEEN:
                 pieces.append((" ", False))
-            nodes[owner()].inputs += tag in ("textarea", "select")
+            nodes[opened.owners[-1]].inputs += tag in ("textarea", "select")
             if not m["attrs"].rstrip().endswith("/"):
                 if tag in RAW:
                     end = re.compile(rf"</{tag}\s*>?", re.I).search(source, last)
                     last = end.end() if end else len(source)
                 else:
-                    skip, deep = tag, 1
+                    skip, inside = tag, {}
             continue
         if tag in VOID:
             if tag in ("br", "hr"):
@@ -152,34 +212,39 @@ def parse(source: str) -> list[Node]:
             if tag == "hr":
                 flush()
                 block += 1
-            nodes[owner()].inputs += tag == "input"
+            nodes[opened.owners[-1]].inputs += tag == "input"
             continue
         attrs = attributes(m["attrs"])
         tokens = attribute_tokens(attrs)
         if tag not in INLINE:
-            for k in range(len(stack) - 1, 0, -1):
-                if tag in ENDS.get(stack[k][0], ()):
-                    close(k)
-                    break
-                if stack[k][0] in SCOPE and stack[k][0] != "body":
-                    break
+            at = max((opened.last(t) for t in ENDED.get(tag, ())), default=0)
+            if at and at >= opened.scope():
+                close(at)
             flush()
             block += 1
         elif tokens:
             flush()
         if tag == "button":
-            nodes[owner()].inputs += 1
-        if tag in INLINE and not tokens:
-            stack.append((tag, -1))
+            nodes[opened.owners[-1]].inputs += 1
+        if m["attrs"].endswith("/") and tag in INLINE:
+            continue  # as of <path/> in a drawing
+        if tag in INLINE and not tokens and not _hides(attrs):
+            opened.push(tag, -1)
         else:
-            at = owner()
-            style = attrs.get("style", "").replace(" ", "").lower()
-            hidden = "hidden" in attrs or "display:none" in style or "visibility:hidden" in style or attrs.get("aria-hidden") == "true"
+            if tag in INLINE:
+                flush()
+            at = opened.owners[-1]
             nodes[at].children.append(len(nodes))
-            stack.append((tag, len(nodes)))
-            nodes.append(Node(tag, at, nodes[at].depth + 1, tokens, hidden))
-        links += tag == "a"
+            opened.push(tag, len(nodes))
+            nodes.append(Node(tag, at, nodes[at].depth + 1, tokens, _hides(attrs)))
     if not skip and last < len(source):
-        pieces.append((html.unescape(source[last:]), links > 0))
+        pieces.append((html.unescape(source[last:]), opened.links > 0))
     flush()
     return nodes
+
+
+def _hides(attrs: dict[str, str]) -> bool:
+    if not attrs:
+        return False
+    style = attrs.get("style", "").replace(" ", "").lower()
+    return "hidden" in attrs or "display:none" in style or "visibility:hidden" in style or attrs.get("aria-hidden") == "true"

@@ -4,7 +4,8 @@ Every block node and run of text gets features: its tag, depth and attribute tok
 density of text and links in its subtree, and how it stands among its siblings. Two models tell whether a node holds any
 main text, and whether it then holds nothing else. Decoding gives each node one of three states, *boilerplate*,
 *main* or *mixed*, at the largest total likelihood under the rule that all below a boilerplate node is boilerplate and
-all below a main node is main.
+all below a main node is main. Runs of one block are one piece of text: they are all kept, or none, as most of its
+characters are.
 
 The models are trained here, on pages of many layouts from :mod:`cairn.llm.html_pages`, whose main text is known.
 """
@@ -21,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm import boosting
-from cairn.llm.html_dom import Node, parse
+from cairn.llm.html_dom import INLINE, Node, parse
+from cairn.llm.memory import lean
 
 TAGS = (
     ("#text",), ("div",), ("section",), ("article",), ("main",), ("p",), ("h1", "h2", "h3"), ("h4", "h5", "h6"), ("ul", "ol", "menu", "dir"),
@@ -57,56 +59,59 @@ ROWS = 64
 
 
 def node_features(nodes: list[Node]) -> np.ndarray:
-    """A row of features for each node."""
+    """A row of features for each node. Nodes come in page order, so that a subtree is a range of them."""
     n = len(nodes)
-    out = np.zeros((n, WIDTH), np.float64)
-    chars, linked, marks, words, runs, tags, paragraphs, items, inputs, longest = np.zeros((10, n))
-    start = np.zeros(n)
-    seen = 0
+    parent = np.array([node.parent for node in nodes])
+    own = np.zeros((n, 9))  # chars, linked, marks, words, runs, tags, paragraphs, items, inputs
+    longest, until = [0] * n, list(range(1, n + 1))
+    flags, kinds, above_flags, above_kinds = [0] * n, [0] * n, [0] * n, [0] * n
+    place, seen, hidden, codes = [0] * n, [0] * n, [0.0] * n, {}
+    code = np.zeros(n, np.int64)
     for i, node in enumerate(nodes):
-        start[i] = seen
-        inputs[i] = node.inputs
+        up = node.parent
         if node.tag == "#text":
             text = SPACE.sub(" ", node.text).strip()
-            chars[i], linked[i], runs[i], longest[i] = len(text), node.linked, 1, len(text)
-            marks[i], words[i] = len(MARKS.findall(text)), text.count(" ") + 1
-            seen += len(text)
+            longest[i] = len(text)
+            own[i] = len(text), node.linked, len(MARKS.findall(text)), text.count(" ") + 1, 1, 0, 0, 0, node.inputs
         else:
-            tags[i] = 1
-            paragraphs[i], items[i] = node.tag == "p", node.tag == "li"
-    for i in range(n - 1, 0, -1):
-        up = nodes[i].parent
-        for total in (chars, linked, marks, words, runs, tags, paragraphs, items, inputs):
-            total[up] += total[i]
-        longest[up] = max(longest[up], longest[i])
-    whole = max(chars[0], 1.0)
-    for i, node in enumerate(nodes):
-        row = out[i]
-        group = TAG_GROUP.get(node.tag)
-        row[group if group is not None else T] = 1
+            own[i, 5:] = 1, node.tag == "p", node.tag == "li", node.inputs
+        kinds[i] = 1 << TAG_GROUP.get(node.tag, T)
         for token in node.tokens:
             for k in TOKEN_GROUP.get(token, ()):
-                row[T + 1 + k] = 1
+                flags[i] |= 1 << k
+        hidden[i] = float(node.hidden)
+        code[i] = codes.setdefault(node.tag, len(codes))
         if i:
-            above = out[node.parent]
-            row[T + 1 + K : T + 1 + 2 * K] = np.maximum(above[T + 1 + K : T + 1 + 2 * K], above[T + 1 : T + 1 + K])
-            row[T + 1 + 2 * K : 2 * T + 1 + 2 * K] = np.maximum(above[T + 1 + 2 * K : 2 * T + 1 + 2 * K], above[:T])
+            above_flags[i], above_kinds[i] = above_flags[up] | flags[up], above_kinds[up] | kinds[up]
+            hidden[i] = max(hidden[i], hidden[up])
+            place[i] = seen[up]
+            seen[up] += 1
+    for i in range(n - 1, 0, -1):
+        up = nodes[i].parent
+        if until[i] > until[up]:
+            until[up] = until[i]
+        if longest[i] > longest[up]:
+            longest[up] = longest[i]
+    before = np.concatenate([np.zeros((1, 9)), own.cumsum(axis=0)])
+    start = before[:-1, 0]
+    chars, linked, marks, words, runs, tags, paragraphs, items, inputs = (before[until] - before[:-1]).T
+    siblings, same, around, share = np.ones((4, n))
+    around[:] = 0
+    if n > 1:
+        up = parent[1:]
+        number = np.bincount(up, minlength=n).astype(float)
+        whole_of = np.bincount(up, chars[1:], n)
+        siblings[1:] = number[up]
+        same[1:] = _sizes(up * len(codes) + code[1:])
+        around[1:] = (whole_of[up] - chars[1:]) / np.maximum(1, number[up] - 1)
+        share[1:] = chars[1:] / np.maximum(whole_of[up], 1)
+    out = np.zeros((n, WIDTH), np.float64)
+    out[:, : T + 1] = _bits(kinds, T + 1)
+    out[:, T + 1 : T + 1 + K] = _bits(flags, K)
+    out[:, T + 1 + K : T + 1 + 2 * K] = _bits(above_flags, K)
+    out[:, T + 1 + 2 * K : 2 * T + 1 + 2 * K] = _bits(above_kinds, T)
     rest = out[:, 2 * T + 1 + 2 * K :]
-    hidden = np.array([node.hidden for node in nodes], float)
-    siblings, place, same, around, share = np.ones(n), np.zeros(n), np.ones(n), np.zeros(n), np.ones(n)
-    for i, node in enumerate(nodes):
-        if i:
-            hidden[i] = max(hidden[i], hidden[node.parent])
-        if node.children:
-            inside = chars[node.children]
-            kinds: dict[str, int] = {}
-            for c in node.children:
-                kinds[nodes[c].tag] = kinds.get(nodes[c].tag, 0) + 1
-            for k, c in enumerate(node.children):
-                siblings[c], place[c], same[c] = len(node.children), k / len(node.children), kinds[nodes[c].tag]
-                around[c] = (inside.sum() - inside[k]) / max(1, len(node.children) - 1)
-                share[c] = inside[k] / max(inside.sum(), 1)
-    some = np.maximum(chars, 1)
+    whole, some = max(chars[0], 1.0), np.maximum(chars, 1)
     rest[:, 0] = [node.depth for node in nodes]
     rest[:, 1] = np.log1p(chars)
     rest[:, 2] = linked / some
@@ -118,7 +123,7 @@ def node_features(nodes: list[Node]) -> np.ndarray:
     rest[:, 8] = items / (tags + 1)
     rest[:, 9] = np.log1p(inputs)
     rest[:, 10] = np.log1p(siblings)
-    rest[:, 11] = place
+    rest[:, 11] = place / siblings
     rest[:, 12] = np.log1p(same)
     rest[:, 13] = np.log1p(around)
     rest[:, 14] = share
@@ -126,10 +131,20 @@ def node_features(nodes: list[Node]) -> np.ndarray:
     rest[:, 16] = chars / whole
     rest[:, 17] = np.log1p(longest)
     rest[:, 18] = hidden
-    rest[:, 19] = [rest[node.parent, 2] if i else 0 for i, node in enumerate(nodes)]
+    rest[1:, 19] = rest[parent[1:], 2]
     return out
 
 
+def _bits(numbers: list[int], width: int) -> np.ndarray:
+    return (np.array(numbers, np.int64)[:, None] >> np.arange(width)) & 1
+
+
+def _sizes(keys: np.ndarray) -> np.ndarray:
+    """How often each key occurs."""
+    _, at, number = np.unique(keys, return_inverse=True, return_counts=True)
+    return number[at]
+
+
 Models = tuple[boosting.Trees, boosting.Trees]
 
 
@@ -141,11 +156,12 @@ def trained(pages: int = 800, seed: int = 20) -> Models:
     rows, any_main, all_main, size = [], [], [], []
     for source, is_main in labelled_pages(pages, seed):
         nodes = parse(source)
+        kept = {node.block for node in nodes if node.tag == "#text" and is_main(node.text)}
         main, chars = np.zeros(len(nodes)), np.zeros(len(nodes))
         for i in range(len(nodes) - 1, -1, -1):
             if nodes[i].tag == "#text":
                 chars[i] = max(1, len(nodes[i].text.strip()))
-                main[i] = chars[i] * is_main(nodes[i].text)
+                main[i] = chars[i] * (nodes[i].block in kept)
             if i:
                 main[nodes[i].parent] += main[i]
                 chars[nodes[i].parent] += chars[i]
@@ -184,15 +200,33 @@ def decode(nodes: list[Node], some: np.ndarray, pure: np.ndarray) -> np.ndarray:
 
 
 def blocks(nodes: list[Node], state: np.ndarray) -> list[str]:
-    """Texts of the kept runs, block by block in page order; white space inside is one space."""
+    """Texts of the blocks whose characters are main for the most part, in page order; white space inside is one space.
+
+    Of a block that is kept only hidden runs that aren't main themselves are left out.
+    """
+    runs = [(i, node) for i, node in enumerate(nodes) if node.tag == "#text"]
+    balance: dict[int, int] = {}
+    for i, node in runs:
+        n = max(1, len(node.text.strip()))
+        balance[node.block] = balance.get(node.block, 0) + (n if state[i] == MAIN else -n)
     held: dict[int, list[str]] = {}
-    for node, s in zip(nodes, state):
-        if node.tag == "#text" and s == MAIN:
+    for i, node in runs:
+        if balance[node.block] >= 0 and (state[i] == MAIN or not _hidden(nodes, node)):
             held.setdefault(node.block, []).append(node.text)
     found = (SPACE.sub(" ", "".join(texts)).strip() for texts in held.values())
     return [text for text in found if text]
 
 
+def _hidden(nodes: list[Node], run: Node) -> bool:
+    """Whether an inline element around a run is hidden."""
+    up = run.parent
+    while nodes[up].tag in INLINE:
+        if nodes[up].hidden:
+            return True
+        up = nodes[up].parent
+    return False
+
+
 def extract_many(sources: list[str], models: Models) -> list[list[str]]:
     pages = [parse(source) for source in sources]
     x = np.concatenate([node_features(nodes) for nodes in pages])
@@ -206,6 +240,7 @@ def extract_many(sources: list[str], models: Models) -> list[list[str]]:
 
 
 def _extract(models: Models, kept: list[str]):
+    @lean
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), ROWS):

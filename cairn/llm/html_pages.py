@@ -153,6 +153,9 @@ class Writer:
     def hidden(self) -> str:
         return self.tag("div", self.prose(1, 2), self.r.choice([' style="display: none"', " hidden", ' aria-hidden="true"']))
 
+    def noscript(self) -> str:
+        return self.tag("noscript", self.r.choice(["x", self.sentence(4, 12), '<img src="/p.gif" alt="">', self.tag("div", self.prose(1, 2), self.attrs("notice", "warning"))]))
+
     # Main text.
 
     def main_prose(self, low: int = 1, high: int = 7) -> str:
@@ -161,7 +164,8 @@ class Writer:
             found = text.split(" ")
             at = self.r.randrange(len(found))
             wrap = self.r.choice(["b", "em", "i", "strong", "a", "code", "span"])
-            found[at] = f'<{wrap}{" href=/x" if wrap == "a" else ""}>{found[at]}</{wrap}>'
+            attrs = ' class="' + self.r.choice(["hl", "link", "external", "term", "note", self.word()]) + '"' if self.r.random() < 0.3 else ""
+            found[at] = f'<{wrap}{" href=/x" if wrap == "a" else ""}{attrs}>{found[at]}</{wrap}>'
             text = " ".join(found)
         if self.r.random() < 0.15:
             text = text.replace(". ", ".<br>", 1)
@@ -172,8 +176,9 @@ class Writer:
     def article(self, inside_first: str) -> str:
         parts = [inside_first] if inside_first else []
         paragraph = self.r.choice(["p"] * 8 + ["div", "br"])
-        for _ in range(self.r.choice([1, 1, 2, 3, 4, 5, 6, 8, 12, 20, 40])):
-            kind = self.r.random()
+        few = self.r.choice([1, 1, 2, 3, 4, 5, 6, 8, 12, 20, 40])
+        for _ in range(few):
+            kind = self.r.random() if few > 3 or self.r.random() < 0.6 else self.r.uniform(0.8, 1.0)  # short ones of every kind
             if kind < 0.72:
                 prose = self.main_prose()
                 parts.append(prose + "<br><br>" if paragraph == "br" else self.tag(paragraph, prose))
@@ -187,7 +192,8 @@ class Writer:
                 rows = "".join(self.tag("tr", "".join(self.tag("td", SIGN + self.words(1, 4)) for _ in range(3))) for _ in range(self.r.randint(2, 4)))
                 parts.append(self.tag("table", rows))
             elif kind < 0.96:
-                parts.append(self.tag("pre", SIGN + self.words(3, 15)))
+                inside = SIGN + self.r.choice([self.words(3, 15), "\n".join(self.words(1, 8) for _ in range(self.r.randint(2, 8)))])
+                parts.append(self.tag("pre", self.tag("code", inside) if self.r.random() < 0.4 else inside))
             else:
                 parts.append(self.tag("figure", "<img src=x>" + self.tag("figcaption", SIGN + self.sentence())))
             if self.r.random() < 0.07:
@@ -220,7 +226,7 @@ class Writer:
         top = [make() for make, odds in ((self.header, 0.5), (self.menu, 0.6), (self.notice, 0.3), (self.advert, 0.35), (self.hidden, 0.05)) if self.r.random() < odds]
         self.r.shuffle(top)
         bottom = [make() for make, odds in ((self.footer, 0.8), (self.notice, 0.1), (self.newsletter, 0.1)) if self.r.random() < odds]
-        script = "<script>track('</div>')</script><noscript>x</noscript>" if self.r.random() < 0.3 else ""
+        script = "<script>track('</div>')</script>" + self.noscript() if self.r.random() < 0.3 else ""
         end = "" if self.sloppy else "</body></html>"
         return f'<!DOCTYPE html><html lang="en">{head}<body>{"".join(top)}{middle}{script}{"".join(bottom)}{end}'
 
