@@ -31,6 +31,8 @@ WORDS, PAIRS, REMEMBERED = 400_000, 4_000_000, 300_000
 ROWS = 256
 #: Ids in one file of the arrays by id.
 PAGE = 1 << 20
+#: Characters of training text for each file of the arrays, so that a task that merges one holds a bounded part.
+SHARD = 1 << 25
 
 
 def words(text: str | None) -> list[bytes]:
@@ -249,12 +251,15 @@ class Model:
 def train(docs: DataFrame, *, text_col: str = "text", shards: int | None = None) -> Model:
     """Count ``docs`` and write the model. Null text is an empty one, which is an end; no rows give a uniform model.
 
-    ``shards``: files of the arrays; None takes the session's number of shuffle partitions.
+    ``shards``: files of the arrays; None takes the session's number of shuffle partitions, or as many more as the
+    length of all texts asks for.
     """
     spark = docs.sparkSession
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     root = Workspace(spark, "kneser-ney").root
     raw = docs.select(docs[text_col].alias("raw"))
+    if not shards:
+        chars = raw.agg(F.sum(F.length("raw"))).first()[0] or 0
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // SHARD))
     vocabulary = merge(raw.mapInArrow(_count_words(shards), RUN_SCHEMA), f"{root}/words", shards)
     if len(vocabulary) >= 2**32 - 1:
         raise ValueError(f"{len(vocabulary)} distinct words don't fit 32-bit ids")

@@ -4,15 +4,19 @@ An Aho-Corasick automaton enumerates the pieces that end at each character; the
 and the number of pieces, never the pieces. Ties go as in the tokenizer: a path replaces another only if its score is
 strictly larger, and paths to a place are tried from the earliest start on. A character that is no piece of its own may
 be unknown, at the lowest score of the vocabulary less ten; neighbouring unknowns are one token, or one per byte where
-the vocabulary holds all byte pieces.
+the vocabulary falls back to bytes.
 
 A text starts with a word mark and has one for each space. Where no piece holds a mark behind another character, and
 the mark is itself a piece, no best path crosses from a word into the next mark, so words are counted one by one and
-remembered. Sums of whole-numbered scores, as those of the files here, are exact either way.
+remembered. Scores are kept to multiples of a power of two, so that sums, and ties, are exact either way.
+
+A file whose pieces are ranked by merges has no log probabilities. They are then taken from the ranks by Zipf's law, a
+fixed rule: nothing is trained.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -29,22 +33,38 @@ WORD = re.compile(f"{MARK}*[^{MARK}]*")
 PENALTY, REMEMBERED, LONGEST = 10.0, 300_000, 64
 ROWS = 256
 
+#: Scores are whole multiples of this.
+GRAIN = 2.0**-20
+
 Counts = tuple[int, float, int]  # tokens, score, unknown characters
 
 
-def read_vocabulary(path: str) -> list[tuple[str, float]]:
-    """Pieces with their scores, of a sentencepiece model file."""
+def zipf(rank: int, size: int) -> float:
+    """Log probability of the piece with that rank, from 1, of ``size``: proportional to one over the rank."""
+    return -math.log(rank) - math.log(math.log(size) + 0.5772156649015329)
+
+
+def read_vocabulary(path: str) -> tuple[list[tuple[str, float]], bool]:
+    """Pieces that text can match, with their log probabilities, of a sentencepiece model file; and whether it falls back to bytes.
+
+    Control, byte, unused and unknown pieces match no text. Whole scores below -1000 are ranks of merges.
+    """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     ids = range(model.get_piece_size())
-    return [(model.id_to_piece(i), float(model.get_score(i))) for i in ids]
+    plain = [i for i in ids if not (model.is_control(i) or model.is_byte(i) or model.is_unused(i) or model.is_unknown(i))]
+    scores = {i: float(model.get_score(i)) for i in plain}
+    if scores and min(scores.values()) < -1000 and all(s == int(s) for s in scores.values()):
+        order = sorted(plain, key=lambda i: (-scores[i], i))
+        scores = {i: zipf(rank, len(order)) for rank, i in enumerate(order, 1)}
+    return [(model.id_to_piece(i), round(scores[i] / GRAIN) * GRAIN) for i in plain], any(map(model.is_byte, ids))
 
 
 class Viterbi(dict):
     """Counts tokens; as a dict it remembers the counts of words."""
 
-    def __init__(self, vocabulary: list[tuple[str, float]]):
+    def __init__(self, vocabulary: list[tuple[str, float]], to_bytes: bool = False):
         self.automaton = ahocorasick.Automaton()
         for piece, score in vocabulary:
             if piece:
@@ -52,7 +72,7 @@ class Viterbi(dict):
         self.automaton.make_automaton()
         pieces = {piece for piece, _ in vocabulary}
         self.unknown = min(score for _, score in vocabulary) - PENALTY
-        self.bytes = all(f"<0x{b:02X}>" in pieces for b in range(256))
+        self.bytes = to_bytes
         self.by_word = MARK in pieces and not any(MARK in piece.lstrip(MARK) for piece in pieces)
 
     def count_run(self, text: str) -> Counts:
@@ -113,7 +133,7 @@ class Viterbi(dict):
 
 @lru_cache(maxsize=2)
 def counter(path: str) -> Viterbi:
-    return Viterbi(read_vocabulary(path))
+    return Viterbi(*read_vocabulary(path))
 
 
 def _count(path: str):
@@ -135,8 +155,8 @@ def _count(path: str):
 def count_tokens(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``n_tokens``, ``score`` of the best path, ``n_unknown`` characters.
 
-    ``vocabulary`` is the path of a sentencepiece model file, whose pieces and scores are taken as a unigram
-    vocabulary. Null and empty texts have no tokens. Repeated rows are counted each, a null id stays null, an empty
+    ``vocabulary`` is the path of a sentencepiece model file, whose pieces are taken as a unigram vocabulary
+    (:func:`read_vocabulary`). Null and empty texts have no tokens. Repeated rows are counted each, a null id stays null, an empty
     table gives an empty result, and other columns are ignored.
     """
     base = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("raw"))
