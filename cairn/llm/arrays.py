@@ -100,17 +100,18 @@ class Folder:
 @lru_cache(maxsize=4096)
 def _mapped(uri: str, name: str, kind: str) -> np.ndarray:
     folder = Folder(uri)
-    if folder.local is None:
-        from pyarrow import fs
-
-        store, path = fs.FileSystem.from_uri(uri)
-        local = f"{tempfile.mkdtemp()}/{name}"
-        with store.open_input_stream(f"{path}/{name}") as read, open(local, "wb") as write:
-            while piece := read.read(1 << 24):
-                write.write(piece)
-    else:
+    if folder.local is not None:
         local = f"{folder.local}/{name}"
-    return np.memmap(local, kind, "r") if os.path.getsize(local) else np.empty(0, kind)
+        return np.memmap(local, kind, "r") if os.path.getsize(local) else np.empty(0, kind)
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri)
+    # The copy has no name: the system frees it with the last map of it.
+    with tempfile.TemporaryFile() as copy, store.open_input_stream(f"{path}/{name}") as read:
+        while piece := read.read(1 << 24):
+            copy.write(piece)
+        copy.flush()
+        return np.memmap(copy, kind, "r") if copy.tell() else np.empty(0, kind)
 
 
 def _merge(uri: str):

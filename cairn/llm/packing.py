@@ -242,7 +242,8 @@ def pack(
 
     ``tokenizer`` is the path of a byte-level BPE file. A document is its ids and then ``end_id``; null text counts as
     empty, so it is ``end_id`` alone. Each id lies in exactly one piece. ``ids`` holds little-endian unsigned 32-bit
-    ids; ``sequence_id`` is unique in the result; ``filled`` is the number of ids in the sequence and
+    ids; ``sequence_id`` is unique in the result; ``most_open`` bounds the windows that a task holds open, beyond which
+    the emptier ones are cut up to fill the others, as at the end of a partition; ``filled`` is the number of ids in the sequence and
     ``padded_length`` what it takes, ``capacity`` unless ``filled`` is a power of two. Repeated rows are documents of
     their own, a null id stays null, an empty table gives an empty result, and other columns are ignored.
     """

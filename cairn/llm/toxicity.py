@@ -102,12 +102,19 @@ def _outputs(side: Side, w: np.ndarray, b: float) -> np.ndarray:
     return np.concatenate([np.bincount(rows, w[cols], at.stop - at.start) for at, cols, rows in _parts(side)]) + b
 
 
-def _descend(
-    toxic: Side, unlabelled: Side, w: np.ndarray, b: float, prior: float, settings: Settings, steps: int, penalty: float
-) -> tuple[np.ndarray, float]:
-    """Proximal Adam on the non-negative risk; without a penalty, weights that are zero stay so."""
-    free = np.append((w != 0) | (penalty > 0), True)
-    m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
+def risk(toxic: Side, unlabelled: Side, w: np.ndarray, b: float, prior: float) -> tuple[float, float]:
+    """The two parts of the risk: toxic texts called clean, and clean texts called toxic as far as unlabelled ones tell.
+
+    The second is the risk of unlabelled texts as clean ones, less the share that toxic texts of the prior have in it.
+    It is an estimate, and below zero where the model fits the toxic texts too closely.
+    """
+    zp, zu = _outputs(toxic, w, b), _outputs(unlabelled, w, b)
+    as_clean = float(np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean())
+    return prior * float(np.logaddexp(0, -zp).mean()), as_clean
+
+
+def risk_gradient(toxic: Side, unlabelled: Side, w: np.ndarray, b: float, prior: float) -> np.ndarray:
+    """The way to go, by weight and then by bias: of the sum of both parts the slope, which steps go down; where the second is negative, against the slope of that one alone."""
 
     def gradient(side: Side, slope: np.ndarray) -> np.ndarray:
         found = np.zeros(len(w))
@@ -115,13 +122,21 @@ def _descend(
             found += np.bincount(cols, slope[at][rows], len(w))
         return np.append(found, slope.sum()) / len(slope)
 
+    zp, zu = _outputs(toxic, w, b), _outputs(unlabelled, w, b)
+    as_clean = gradient(unlabelled, _sigmoid(zu)) - prior * gradient(toxic, _sigmoid(zp))
+    if np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean() < 0:
+        return -as_clean
+    return as_clean - prior * gradient(toxic, _sigmoid(-zp))
+
+
+def _descend(
+    toxic: Side, unlabelled: Side, w: np.ndarray, b: float, prior: float, settings: Settings, steps: int, penalty: float
+) -> tuple[np.ndarray, float]:
+    """Proximal Adam on the non-negative risk; without a penalty, weights that are zero stay so."""
+    free = np.append((w != 0) | (penalty > 0), True)
+    m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, steps + 1):
-        zp, zu = _outputs(toxic, w, b), _outputs(unlabelled, w, b)
-        as_clean = gradient(unlabelled, _sigmoid(zu)) - prior * gradient(toxic, _sigmoid(zp))
-        if np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean() < 0:
-            g = -as_clean
-        else:
-            g = as_clean - prior * gradient(toxic, _sigmoid(-zp))
+        g = risk_gradient(toxic, unlabelled, w, b, prior)
         m = 0.9 * m + 0.1 * g * free
         v = 0.999 * v + 0.001 * (g * free) ** 2
         scale = settings.rate / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -216,7 +231,8 @@ def train(
 
     ``labels`` marks ids; of repeated marks of an id the largest counts, and a null mark is none. Confirmed toxic are
     the rows marked 1, the class prior is their share of the marked usable ids, and all usable rows are unlabelled.
-    Without marks the prior is 0, and so every score is close to it.
+    Without marks the prior is 0, and so every score is close to it. The rows marked toxic and the unlabelled ones that
+    are fitted are bounded by ``settings``; the share is that of all marks.
     """
     marks = labels.select(labels[id_col].alias("doc"), labels[label_col].alias("mark")).where("doc is not null and mark is not null")
     marks = marks.where(usable).groupBy("doc").agg(F.max("mark").alias("mark"))

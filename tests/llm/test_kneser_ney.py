@@ -69,3 +69,36 @@ def test_arrays_round_trip():
     assert _restore(_squeeze(x), np.uint64).tolist() == x.tolist()
     keys, counts = summed(x, np.array([1, 2, 3, 4]))
     assert keys.tolist() == [5, 7, 2**40] and counts.tolist() == [5, 3, 2]
+
+
+def test_odd_rows_and_long_texts(spark):
+    shape = "doc_id long, text string, id string, raw string, score double, n_tokens long"
+    long = " ".join(f"w{k % 50}" for k in range(30_000))
+    rows = [(1, "the cat", "x", "y", 0.5, 1), (1, "the cat", "x", "y", 0.5, 1), (None, "the mat", "x", "y", 0.5, 1), (None, None, "x", "y", None, 1), (2, long, "x", "y", 0.5, 1)]
+    table = spark.createDataFrame(rows, shape)
+    model = train(table)
+    found = score(table, model).collect()
+    assert sorted(str(r.doc_id) for r in found) == ["1", "1", "2", "None", "None"] and all(math.isfinite(r.score) for r in found)
+    assert {r.n_tokens for r in found} == {1, 3, 30_001} and model.tokens == 30_001 + 3 * 3 + 1
+    assert len({r.score for r in found if r.doc_id == 1}) == 1
+
+
+def test_files_of_the_arrays_grow_with_the_text(docs, monkeypatch):
+    monkeypatch.setattr("cairn.llm.kneser_ney.SHARD", 100)
+    model = train(docs(*TRAIN))
+    assert len(model.pairs.sizes) == -(-sum(len(t or "") for _, t in TRAIN) // 100) > 4
+    one = {r.doc_id: r.score for r in score(docs(*TRAIN), train(docs(*TRAIN), shards=1)).collect()}
+    assert {r.doc_id: r.score for r in score(docs(*TRAIN), model).collect()} == pytest.approx(one)
+
+
+def test_a_store_that_is_not_mounted_is_read_through_a_copy(tmp_path, monkeypatch):
+    from cairn.llm import arrays
+
+    folder = arrays.Folder(f"file://{tmp_path}/far")
+    folder.put("a", np.arange(5, dtype=np.int64))
+    folder.put("none", np.empty(0))
+    monkeypatch.setattr(arrays.Folder, "__init__", lambda self, uri: self.__dict__.update(uri=uri, local=None))
+    arrays._mapped.cache_clear()
+    assert arrays.Folder(f"file://{tmp_path}/far").get("a", np.int64).tolist() == [0, 1, 2, 3, 4]
+    assert not len(arrays.Folder(f"file://{tmp_path}/far").get("none", np.float64))
+    arrays._mapped.cache_clear()

@@ -91,3 +91,32 @@ def test_drain_leaves_one_partial_window():
 def test_empty_table_and_null_id(docs):
     assert pack(docs(), PATH).count() == 0
     assert [(p.doc_id, p.length) for p in pack(docs((None, None)), PATH).collect()] == [(None, 1)]
+
+
+def test_more_open_windows_than_allowed_lose_nothing():
+    rng = np.random.default_rng(2)
+    packer, windows, want = Packer(64, 5), [], {}
+    for k, n in enumerate(rng.integers(1, 200, 300).tolist()):
+        want[k] = rng.integers(0, 2**31, n).astype("<u4").tobytes()
+        windows += list(packer.add(k, want[k]))
+        assert len(packer.windows) <= 6
+    windows += list(packer.drain())
+    pieces = defaultdict(list)
+    for window in windows:
+        assert sum(len(p[2]) for p in window) // 4 <= 64
+        for doc, start, ids, n in window:
+            assert n == len(want[doc]) // 4
+            pieces[doc].append((start, ids))
+    assert {doc: b"".join(ids for _, ids in sorted(found)) for doc, found in pieces.items()} == want
+
+
+def test_repeated_rows_and_clashing_names(spark):
+    shape = "doc_id long, text string, doc long, start long, length string, ids binary, sequence_id string, filled long, `offset` long"
+    rows = [(1, "a b c", 1, 2, "x", b"x", "s", 3, 4)] * 3 + [(None, "long " * 3000, 1, 2, "x", b"x", "s", 3, 4)]
+    found = pack(spark.createDataFrame(rows, shape), PATH, most_open=1).collect()
+    by_sequence = defaultdict(int)
+    for p in found:
+        by_sequence[p.sequence_id] += p.length
+    assert sum(p.length for p in found if p.doc_id == 1) == 3 * found[0].doc_tokens or found[0].doc_id is None
+    assert sum(p.length for p in found if p.doc_id is None) == next(p.doc_tokens for p in found if p.doc_id is None)
+    assert all(n <= 2048 for n in by_sequence.values())

@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cairn.llm.toxicity import Features, Settings, drop_toxic, fit, score, train
+from cairn.llm.toxicity import Features, Settings, drop_toxic, fit, risk, risk_gradient, score, train
 
 WORDS = [a + b + c for a in ("ka", "lo", "mi", "re") for b in ("na", "so", "ti") for c in ("b", "d", "g", "p")]
 
@@ -73,3 +74,37 @@ def test_parts_of_a_matrix_change_nothing(corpus, monkeypatch):
     monkeypatch.setattr("cairn.llm.toxicity.ENTRIES", 50)
     parts = fit(toxic, all_, 1 / 8, settings)
     assert parts.weights == pytest.approx(whole.weights) and parts.bias == pytest.approx(whole.bias)
+
+
+def side(matrix):
+    return np.concatenate([np.flatnonzero(r) for r in matrix]), np.concatenate([[0], np.cumsum(matrix.sum(axis=1))])
+
+
+def test_risk_and_gradient_by_their_definitions():
+    rng = np.random.default_rng(7)
+    toxic, unlabelled, prior = rng.integers(0, 2, (7, 5)), rng.integers(0, 2, (20, 5)), 0.2
+
+    def parts(x):
+        zp, zu = toxic @ x[:5] + x[5], unlabelled @ x[:5] + x[5]
+        loss = lambda z, y: np.mean([np.log(1 + np.exp(-v if y else v)) for v in z])
+        return prior * loss(zp, 1), loss(zu, 0) - prior * loss(zp, 0)
+
+    signs = set()
+    for scale in (0.3, 1.0, 6.0):
+        for _ in range(12):
+            x = rng.normal(0, scale, 6)
+            if scale == 6.0:
+                x = np.append(np.linalg.lstsq(np.vstack([toxic, unlabelled]), np.append(np.full(7, 20.0), np.full(20, -20.0)), rcond=None)[0], -4.0) * rng.uniform(0.5, 2)
+            known, clean = parts(x)
+            assert risk(side(toxic), side(unlabelled), x[:5], x[5], prior) == pytest.approx((known, clean))
+            step = np.eye(6) * 1e-6
+            slope = np.array([[(a - b) / 2e-6 for a, b in zip(parts(x + e), parts(x - e))] for e in step]).T
+            want = -slope[1] if clean < 0 else slope[0] + slope[1]
+            assert risk_gradient(side(toxic), side(unlabelled), x[:5], x[5], prior) == pytest.approx(want, abs=1e-6)
+            signs.add(clean < 0)
+    # Toxic texts that unlabelled ones never resemble: the estimate of the clean part falls below zero, and the sign turns.
+    alone, rest = np.array([[1, 0]] * 5), np.array([[0, 1]] * 10)
+    assert risk(side(alone), side(rest), np.array([5.0, -5.0]), 0.0, 0.4)[1] < 0
+    g = risk_gradient(side(alone), side(rest), np.array([5.0, -5.0]), 0.0, 0.4)
+    assert g[0] > 0  # a step goes down: the toxic feature loses weight
+    assert False in signs
