@@ -57,9 +57,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and read again."""
+    """All stages over ``documents``, each written to the shared folder and read again; what has been read goes."""
     work = Workspace(spark, "corpus-pipeline")
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = work.save(stage(spark, docs, sf_dir), name)
+    for number, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, work.save(stage(spark, docs, sf_dir), name)
+        if number:
+            work.drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)
