@@ -32,7 +32,8 @@ def get_session(app: str = "cairn", master: str | None = None, **conf: str) -> S
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read: ``spark.checkpoint.dir``, or a fresh local one where it is unset.
 
-    The local fallback is for single-machine runs (tests, benchmarks); a cluster names its own folder.
+    The local fallback is for single-machine runs (tests, benchmarks); a cluster names its own folder, and without one
+    a RuntimeError says so.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
@@ -40,6 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="cairn-"))
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
