@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cairn.llm import boosting
 from cairn.llm.html_dom import INLINE, Node, parse
-from cairn.llm.memory import lean
+from cairn.llm.memory import lean, small_batches
 
 TAGS = (
     ("#text",), ("div",), ("section",), ("article",), ("main",), ("p",), ("h1", "h2", "h3"), ("h4", "h5", "h6"), ("ul", "ol", "menu", "dir"),
@@ -258,6 +258,7 @@ def extract(pages: DataFrame, *, html_col: str = "html", keep: tuple[str, ...] =
     empty text. Character references are decoded once. Repeated rows are extracted each, an empty table gives an empty
     result, other columns are ignored.
     """
+    small_batches(pages.sparkSession)
     base = pages.select(*[pages[c].alias(f"k{i}") for i, c in enumerate(keep)], pages[html_col].alias("source"))
     kept = base.columns[:-1]
     shape = base.drop("source").withColumn("found", F.array(F.lit(""))).schema

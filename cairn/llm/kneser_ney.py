@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from cairn.llm.arrays import RUN_SCHEMA, Counted, Folder, merge, mixed, runs, summed
-from cairn.llm.memory import lean
+from cairn.llm.memory import lean, small_batches
 from cairn.session import Workspace
 
 #: The end token; it holds white space, so no word equals it.
@@ -255,6 +255,7 @@ def train(docs: DataFrame, *, text_col: str = "text", shards: int | None = None)
     length of all texts asks for.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     root = Workspace(spark, "kneser-ney").root
     raw = docs.select(docs[text_col].alias("raw"))
     if not shards:
@@ -321,6 +322,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     ``score`` is the model's log10 probability of the text with its end, ``base_score`` that of add-one smoothed word
     counts. Null text counts as empty: one token, its end. Repeated rows are scored each; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     base = docs.select(docs[id_col].alias("id"), docs[text_col].alias("raw"))
     kind = base.schema["id"].dataType
     shape = f"id {kind.simpleString()}, n_tokens long, n_known long, base_score double, score double"

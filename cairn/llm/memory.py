@@ -7,6 +7,10 @@ from collections.abc import Callable, Iterable, Iterator
 from functools import wraps
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+#: Bytes of a batch of rows that goes to a Python worker: Spark's own bound is 64 MB, held several times over on both sides.
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4m")}
 
 Run = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
@@ -23,3 +27,10 @@ def lean(run: Run) -> Run:
             trim(0)
 
     return trimmed
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches that go to Python workers, unless the session has a bound of its own."""
+    for key, (usual, bound) in BATCH.items():
+        if spark.conf.get(key) == usual:
+            spark.conf.set(key, bound)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from cairn.llm.memory import lean
+from cairn.llm.memory import lean, small_batches
 
 #: Texts of a batch of rows, units that are remembered, and their longest length.
 ROWS, REMEMBERED, LONGEST = 256, 300_000, 64
@@ -247,6 +247,7 @@ def pack(
     ``padded_length`` what it takes, ``capacity`` unless ``filled`` is a power of two. Repeated rows are documents of
     their own, a null id stays null, an empty table gives an empty result, and other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     base = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("raw"))
     kind = base.schema["doc"].dataType
     shape = f"doc {kind.simpleString()}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, filled long"

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.memory import lean
+from cairn.llm.memory import lean, small_batches
 from cairn.llm.rows import matching, row_key
 from cairn.operators.graph import connected_components
 from cairn.session import Workspace
@@ -639,6 +639,7 @@ def near_groups(
     most ``budget`` bits. A null id is above all others. An empty table gives an empty result. Other columns are
     ignored, whatever their names.
     """
+    small_batches(docs.sparkSession)
     work = Workspace(docs.sparkSession, "simhash")
     base = docs.select(docs[id_col].alias("id"), F.monotonically_increasing_id().alias("rid"), docs[text_col].alias("raw"))
     shape = base.drop("raw").withColumn("sig", F.array(F.lit(0).cast("long"))).schema
@@ -677,6 +678,7 @@ def near_dedup(
     empty result.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     work = Workspace(spark, "near-dedup")
     # A row is known by its id and 128 bits of its text, so that rows needn't keep their order between readings.
     key = row_key(docs, id_col, text_col)

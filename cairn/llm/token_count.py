@@ -25,7 +25,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cairn.llm.memory import lean
+from cairn.llm.memory import lean, small_batches
 
 MARK = "▁"
 WORD = re.compile(f"{MARK}*[^{MARK}]*")
@@ -159,6 +159,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", te
     (:func:`read_vocabulary`). Null and empty texts have no tokens. Repeated rows are counted each, a null id stays null, an empty
     table gives an empty result, and other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     base = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("raw"))
     shape = f"doc {base.schema['doc'].dataType.simpleString()}, n_tokens long, score double, n_unknown long"
     return base.mapInArrow(_count(vocabulary), shape).withColumnRenamed("doc", id_col)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.llm.memory import lean
+from cairn.llm.memory import lean, small_batches
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Lengths of word beginnings that are features, besides the word; remembered words; texts at a time; entries of a matrix at a time.
@@ -271,6 +271,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     the class prior as score. Repeated rows are scored each, a null
     id stays null, an empty table gives an empty result, other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     base = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("raw"))
     found = base.mapInArrow(_score(model), f"doc {base.schema['doc'].dataType.simpleString()}, score double")
     return found.select(F.col("doc").alias(id_col), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
@@ -278,6 +279,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
 
 def drop_toxic(docs: DataFrame, model: Model, *, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` with a score below ``threshold``, with all their columns."""
+    small_batches(docs.sparkSession)
     row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("raw"))
 
     @lean
