@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cairn import schemas
 from cairn.functions.scalars import distinct_text
 from cairn.operators.hot import join_totals
+from cairn.operators.ordered import numbered_rows, running
 from cairn.session import Workspace
 
 
@@ -39,17 +40,11 @@ def top_by(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], n: i
 def numbered(df: DataFrame, column: str, name: str) -> DataFrame:
     """Each distinct value of a column with its place in order from 0, and the rows joined to it.
 
-    Values are ordered by range, counted by partition, and numbered within it; no task sees them all.
+    Values are ordered and numbered by ranges; no task sees them all.
     """
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = values.repartitionByRange(parts, column).sortWithinPartitions(column).withColumn("part", F.spark_partition_id())
-    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    within = F.row_number().over(Window.partitionBy("part").orderBy(column)) - 1
-    ids = ranged.withColumn("at", within).join(F.broadcast(before), "part").select(column, (F.col("before") + F.col("at")).alias(name))
-    return df.join(ids, column, "left")
+    ids = numbered_rows(values, [column], name)
+    return df.join(ids.withColumn(name, F.col(name) - 1), column, "left")
 
 
 def aggregated_columns(index: DataFrame, *, entry: str, biounit: str, system: str, code: str, flags: Sequence[str]) -> DataFrame:
@@ -99,15 +94,13 @@ def venn(df: DataFrame, value: str, group: str, names: Sequence[str]) -> DataFra
 
 
 def ks_statistic(df: DataFrame, value: str, group: str, first: str, second: str) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic and the sample sizes. Only counts by distinct value are ordered."""
+    """Two-sample Kolmogorov-Smirnov statistic and the sample sizes. Only counts by distinct value are ordered, by ranges."""
     counts = df.where(F.col(value).isNotNull() & F.col(group).isin(first, second)).groupBy(F.col(value).alias("v")).agg(
         F.sum((F.col(group) == first).cast("long")).alias("a"), F.sum((F.col(group) == second).cast("long")).alias("b")
     )
-    so_far = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy()
-    steps = counts.select(
-        F.sum("a").over(so_far).alias("a"), F.sum("b").over(so_far).alias("b"), F.sum("a").over(whole).alias("na"), F.sum("b").over(whole).alias("nb")
-    )
+    whole = counts.agg(F.sum("a").alias("na"), F.sum("b").alias("nb"))
+    steps = running(counts, ["v"], {"until a": "a", "until b": "b"}).join(F.broadcast(whole))  # one row
+    steps = steps.select(F.col("until a").alias("a"), F.col("until b").alias("b"), "na", "nb")
     return steps.agg(F.max(F.abs(F.col("a") / F.col("na") - F.col("b") / F.col("nb"))).alias("statistic"), F.max("na").alias("n_first"), F.max("nb").alias("n_second"))
 
 

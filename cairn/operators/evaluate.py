@@ -9,6 +9,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.operators.ordered import medians
+
 
 def evaluated(scores: DataFrame, data: DataFrame, *, key: str, rank: str = "rank", rmsd: str = "rmsd", lddt: str = "lddt", success: float = 2.0) -> DataFrame:
     """Scores of the systems in ``data``, one by system and rank; a missing RMSD is the largest, a missing lDDT 0.
@@ -32,16 +34,21 @@ def best_pose(rows: DataFrame, *, key: str, rank: str, rmsd: str, top_n: int) ->
 
 
 def results_table(best: DataFrame, subsets: dict[str, Column], *, key: str, rmsd: str = "rmsd", lddt: str = "lddt") -> DataFrame:
-    """A row by subset: systems, success in percent, median and population deviation of RMSD and lDDT."""
+    """A row by subset: systems, success in percent, median and population deviation of RMSD and lDDT.
+
+    ``best`` has one row by system, as :func:`best_pose` gives it.
+    """
     marked = best.select(key, rmsd, lddt, "success", F.explode(F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), name) for name, c in subsets.items()]), lambda s: s.isNotNull())).alias("subset"))
-    return marked.groupBy("subset").agg(
-        F.count_distinct(key).alias("n_systems"),
-        (100 * F.count_distinct(F.when(F.col("success"), F.col(key))) / F.count_distinct(key)).alias("success_rate"),
-        F.median(rmsd).alias("median_rmsd"),
+    # A system is one row by now, so that counts of rows with a key, made where the rows are, count systems.
+    found = marked.groupBy("subset").agg(
+        F.count(key).alias("n_systems"),
+        (100 * F.sum(F.when(F.col("success") & F.col(key).isNotNull(), 1).otherwise(0)) / F.count(key)).alias("success_rate"),
         F.stddev_pop(rmsd).alias("stdev_rmsd"),
-        F.median(lddt).alias("median_lddt"),
         F.stddev_pop(lddt).alias("stdev_lddt"),
     )
+    for column, name in ((rmsd, "median_rmsd"), (lddt, "median_lddt")):
+        found = found.join(medians(marked, ["subset"], column).withColumnRenamed("median", name), "subset", "left")
+    return found
 
 
 def curve(rows: DataFrame, *, similarity: str, cuts: Sequence[float]) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairn.operators.ordered import numbered_rows
 from cairn.session import Workspace
 
 
@@ -176,13 +177,13 @@ def communities(edges: DataFrame, *, src: str = "src", dst: str = "dst", weight:
 def ranked_labels(components: DataFrame, nodes: DataFrame | None = None, *, node: str = "node", component: str = "component") -> DataFrame:
     """Labels c0, c1, … by size, the largest first, of equal ones the one with the smallest member; ``node``, ``label``.
 
-    Ids of ``nodes`` (one column) that no component has are components of their own. Only a row by component is ordered.
+    Ids of ``nodes`` (one column) that no component has are components of their own. Only a row by component is ordered, by ranges.
     """
     found = components.select(F.col(node).alias("node"), F.col(component).alias("component"))
     if nodes is not None:
         alone = nodes.select(F.col(nodes.columns[0]).alias("node")).distinct().join(found.select("node"), "node", "left_anti")
         found = found.union(alone.select("node", F.col("node").alias("component")))
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"))
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), "low")) - 1
-    names = sizes.select("component", F.concat(F.lit("c"), rank.cast("string")).alias("label"), "n")
+    sizes = numbered_rows(sizes, [F.desc("n"), "low"], "place")
+    names = sizes.select("component", F.concat(F.lit("c"), (F.col("place") - 1).cast("string")).alias("label"), "n")
     return found.join(names, "component").select("node", "label", F.col("n").alias("size"))

@@ -10,27 +10,43 @@ from pyspark.sql import functions as F
 from cairn.functions.scalars import best_of, half_even_percent, truncated_percent
 
 
-def multiset_overlap_edges(items: DataFrame, *, key: str, item: str, min_score: int = 0) -> DataFrame:
+def multiset_overlap_edges(
+    items: DataFrame, *, key: str, item: str, min_score: int = 0, between: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
     """Similarity of every two keys that share an item: ``query``, ``target``, ``pli_qcov``, ``pli_unique_qcov``.
 
     ``pli_qcov`` is the share of the query's items, with repeats, that the target has as often; ``pli_unique_qcov``
     the share of its kinds of items; both from 0 to 100, rounded half to even. Keys meet by an equi-join on the item,
-    counts are summed on the map side, and keys without a shared item cost nothing.
+    each two of them once; counts are summed on the map side, both directions are made of the sum, and keys without a
+    shared item cost nothing. ``between``, two one-column tables of keys, keeps to pairs with one key in each, and only
+    those are joined.
     """
     counts = items.where(F.col(item).isNotNull()).groupBy(key, item).agg(F.count(F.lit(1)).alias("n"))
+    a = counts.select(F.col(key).alias("a"), F.col(item).alias("i"), F.col("n").alias("na"))
+    b = counts.select(F.col(key).alias("b"), F.col(item).alias("i"), F.col("n").alias("nb"))
     sizes = counts.groupBy(key).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    q = counts.select(F.col(key).alias("query"), F.col(item).alias("i"), F.col("n").alias("nq"))
-    t = counts.select(F.col(key).alias("target"), F.col(item).alias("i"), F.col("n").alias("nt"))
-    shared = q.join(t, "i").where("query <> target").groupBy("query", "target").agg(
-        F.sum(F.least("nq", "nt")).alias("common"), F.count(F.lit(1)).alias("common_kinds")
-    )
-    found = shared.join(sizes.withColumnRenamed(key, "query"), "query").select(
-        "query",
-        "target",
-        half_even_percent(F.col("common") / F.col("total")).cast("int").alias("pli_qcov"),
-        half_even_percent(F.col("common_kinds") / F.col("kinds")).cast("int").alias("pli_unique_qcov"),
-    )
-    return found.where(F.col("pli_qcov") >= min_score) if min_score else found
+    distinct = F.col("a") < F.col("b")
+    if between is not None:
+        left, right = (t.select(F.col(t.columns[0]).alias(n)).distinct() for t, n in zip(between, ("a", "b")))
+        a, b, distinct = a.join(left, "a", "left_semi"), b.join(right, "b", "left_semi"), F.col("a") != F.col("b")
+    shared = a.join(b, "i").where(distinct).groupBy("a", "b").agg(F.sum(F.least("na", "nb")).alias("common"), F.count(F.lit(1)).alias("common_kinds"))
+    for side in ("a", "b"):
+        own = sizes.select(F.col(key).alias(side), F.col("total").alias(f"total_{side}"), F.col("kinds").alias(f"kinds_{side}"))
+        shared = shared.join(own, side)
+
+    def direction(query: str, target: str) -> Column:
+        return F.struct(
+            F.col(query).alias("query"),
+            F.col(target).alias("target"),
+            half_even_percent(F.col("common") / F.col(f"total_{query}")).cast("int").alias("pli_qcov"),
+            half_even_percent(F.col("common_kinds") / F.col(f"kinds_{query}")).cast("int").alias("pli_unique_qcov"),
+        )
+
+    both = F.array(direction("a", "b"), direction("b", "a"))
+    if min_score:
+        both = F.filter(both, lambda e: e["pli_qcov"] >= min_score)
+    found = shared.select(F.inline(both))
+    return found.distinct() if between is not None else found  # a pair within both tables is met from either side
 
 
 def oriented(edges: DataFrame, queries: DataFrame, targets: DataFrame, *, query: str = "query", target: str = "target") -> DataFrame:
@@ -50,10 +66,9 @@ def oriented(edges: DataFrame, queries: DataFrame, targets: DataFrame, *, query:
 
 def best_match(edges: DataFrame, *, by: str = "query", other: str = "target", score: str) -> DataFrame:
     """The edge with the highest score by ``by``; of equal ones that with the smallest ``other``."""
-    top = edges.groupBy(by).agg(F.max(score).alias("top score"))
-    tied = edges.join(top, by).where(F.col(score) == F.col("top score")).drop("top score")
-    best = F.min_by(F.struct(*[c for c in edges.columns if c != by]), F.col(other))
-    return tied.groupBy(by).agg(best.alias("best row")).select(by, "`best row`.*")
+    rest = F.struct(*[c for c in edges.columns if c != by])
+    best = F.min_by(rest, F.struct((-F.col(score).cast("double")).alias("s"), F.col(other).alias("o")))
+    return edges.where(F.col(score).isNotNull()).groupBy(by).agg(best.alias("best row")).select(by, "`best row`.*")
 
 
 def cross_similarity(edges: DataFrame, queries: DataFrame, targets: DataFrame, *, query: str = "query", target: str = "target", score: str) -> DataFrame:

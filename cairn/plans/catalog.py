@@ -79,8 +79,8 @@ def items_of(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("system"), F.col("l_partkey").alias("item"))
 
 
-def edges_of(spark: SparkSession, sf: str) -> DataFrame:
-    return similarity.multiset_overlap_edges(items_of(spark, sf), key="system", item="item")
+def edges_of(spark: SparkSession, sf: str, **bounds) -> DataFrame:
+    return similarity.multiset_overlap_edges(items_of(spark, sf), key="system", item="item", **bounds)
 
 
 EDGES = """cnt as (select l_orderkey as system, l_partkey as item, count(*) as n from lineitem group by all),
@@ -95,7 +95,7 @@ EDGES = """cnt as (select l_orderkey as system, l_partkey as item, count(*) as n
 
 def graph_of(spark: SparkSession, sf: str) -> DataFrame:
     """Links of systems that share at least seven tenths of the query's items."""
-    return edges_of(spark, sf).where("pli_qcov >= 70").select(F.col("query").alias("src"), F.col("target").alias("dst"))
+    return edges_of(spark, sf, min_score=70).select(F.col("query").alias("src"), F.col("target").alias("dst"))
 
 
 GRAPH = EDGES + ", links as (select query as src, target as dst from edges where pli_qcov >= 70)"
@@ -232,9 +232,9 @@ def pli_qcov_edges(spark, sf):
     select q as query, t as target, s as pli_qcov from a qualify row_number() over (partition by q order by s desc, t) = 1""")
 def cross_similarity(spark, sf):
     systems = table(spark, sf, "orders").select("o_orderkey")
-    return similarity.cross_similarity(
-        edges_of(spark, sf).select("query", "target", "pli_qcov"), systems.where("o_orderkey % 10 < 2"), systems.where("o_orderkey % 10 = 9"), score="pli_qcov"
-    )
+    queries, targets = systems.where("o_orderkey % 10 < 2"), systems.where("o_orderkey % 10 = 9")
+    edges = edges_of(spark, sf, between=(queries, targets)).select("query", "target", "pli_qcov")
+    return similarity.cross_similarity(edges, queries, targets, score="pli_qcov")
 
 
 @query(f"""with {EDGES} select query, target, pli_qcov, pli_unique_qcov from edges where pli_qcov >= 60 and pli_unique_qcov >= 67""")
@@ -356,7 +356,8 @@ def communities(spark, sf):
     select q as query, t as target, p as pli_qcov from a qualify row_number() over (partition by q order by p desc, t) = 1""")
 def leakage_max(spark, sf):
     names = splits_of(spark, sf).withColumnRenamed("system_id", "system")
-    return split.max_leakage(edges_of(spark, sf).select("query", "target", "pli_qcov"), names, "train", "test", score="pli_qcov")
+    sides = tuple(names.where(F.col("split") == s).select("system") for s in ("train", "test"))
+    return split.max_leakage(edges_of(spark, sf, between=sides).select("query", "target", "pli_qcov"), names, "train", "test", score="pli_qcov")
 
 
 def systems_of(spark: SparkSession, sf: str) -> DataFrame:
