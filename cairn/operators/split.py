@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass, field, fields
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.functions.filters import all_of, in_ranges
+from cairn.functions.filters import all_of, condition, in_ranges
 from cairn.operators.enrich import first_by, top_by
 from cairn.operators.graph import degrees, neighbours
+from cairn.operators.ordered import numbered_rows, running
 from cairn.operators.similarity import best_match, oriented
+from cairn.session import Workspace
 
 
 @dataclass(frozen=True)
 class SplitRules:
     """Thresholds of a split. The default values are fixed by the published procedure."""
 
+    #: Links of systems: metric, least similarity and depth of each graph.
+    graphs: tuple[tuple[str, int, int], ...] = (("pli_unique_qcov", 30, 1), ("protein_seqsim_weighted_sum", 30, 1))
+    #: Clusterings that test and validation systems are drawn from, and that of ligands: metric, threshold, kind, directed.
+    test_cluster: tuple[str, int, str, bool] = ("pli_unique_qcov", 50, "communities", False)
+    val_cluster: tuple[str, int, str, bool] = ("pocket_qcov", 50, "components", False)
+    ligand_cluster: tuple[str, int, str, bool] = ("tanimoto_similarity_max", 50, "components", False)
     depth: int = 1
     min_test_cluster: int = 5
     per_entry_and_code: int = 1
@@ -27,8 +37,30 @@ class SplitRules:
     min_val_cluster: int = 30
     per_val_cluster: int = 3
     num_val: int = 1000
-    ranges: dict[str, tuple[float, float]] = field(default_factory=dict)
-    weights: dict[str, float] = field(default_factory=lambda: {"leakage_count": -1.0})
+    min_series: int = 3
+    ranges: dict[str, tuple[float, float]] = field(
+        default_factory=lambda: {
+            "system_proper_num_interactions": (3, 50),
+            "system_proper_num_pocket_residues": (5, 100),
+            "system_proper_ligand_max_molecular_weight": (200, 800),
+        }
+    )
+    criteria: tuple[tuple[str, str, Any], ...] = (("biounit_num_ligands", "<=", 20),)
+    weights: dict[str, float] = field(default_factory=lambda: {"system_ligand_has_cofactor": -40.0, "leakage_count": -1.0})
+
+    @classmethod
+    def of(cls, settings: dict[str, Any]) -> SplitRules:
+        """Rules from a mapping, lists standing for tuples. A name that is no rule is a ValueError."""
+        known = {f.name for f in fields(cls)}
+        if unknown := sorted(set(settings) - known):
+            raise ValueError(f"unknown rules {unknown}; use some of {sorted(known)}")
+
+        def fixed(value: Any) -> Any:
+            if isinstance(value, dict):
+                return {k: fixed(v) for k, v in value.items()}
+            return tuple(map(fixed, value)) if isinstance(value, (list, tuple)) else value
+
+        return cls(**{k: fixed(v) for k, v in settings.items()})
 
 
 def prepare(systems: DataFrame, rules: SplitRules, *, uniqueness: str = "uniqueness", order: tuple = ("system",)) -> DataFrame:
@@ -40,7 +72,28 @@ def prepare(systems: DataFrame, rules: SplitRules, *, uniqueness: str = "uniquen
     one = one.withColumn("passes_statistics", in_ranges(rules.ranges))
     size = one.groupBy("cluster").agg(F.count(F.lit(1)).alias("cluster_size"))
     one = one.join(size, "cluster", "left")
-    return one.withColumn("proto_test", all_of([F.col("passes_quality"), F.col("passes_statistics"), F.col("cluster_size") >= rules.min_test_cluster]))
+    wanted = [F.col("passes_quality"), F.col("passes_statistics"), F.col("cluster_size") >= rules.min_test_cluster]
+    if rules.criteria:
+        wanted.append(condition(list(rules.criteria)))
+    return one.withColumn("proto_test", all_of(wanted))
+
+
+def sampling_clusters(systems: DataFrame, test_clusters: DataFrame, val_clusters: DataFrame) -> DataFrame:
+    """Systems with the cluster that test systems are drawn from and that of validation ones; a system without one has null.
+
+    Clusters are tables of system_id and label; of several labels of a system the smallest counts.
+    """
+    for labels, name in ((test_clusters, "cluster"), (val_clusters, "val_cluster")):
+        one = labels.groupBy(F.col("system_id").alias("system")).agg(F.min("label").alias(name))
+        systems = systems.drop(name).join(one, "system", "left")
+    return systems
+
+
+def with_links(systems: DataFrame, links: DataFrame, kinds: Sequence[str] = ("apo", "pred")) -> DataFrame:
+    """Systems with whether they have links of each kind, and of any (``system_has_apo_or_pred``); links have reference_system_id and kind."""
+    marks = links.groupBy(F.col("reference_system_id").alias("system")).agg(*[F.max(F.col("kind") == k).alias(f"system_has_{k}") for k in kinds])
+    found = systems.join(marks, "system", "left").withColumns({f"system_has_{k}": F.coalesce(f"system_has_{k}", F.lit(False)) for k in kinds})
+    return found.withColumn("system_has_" + "_or_".join(kinds), F.greatest(*[f"system_has_{k}" for k in kinds]) if len(kinds) > 1 else F.col(f"system_has_{kinds[0]}"))
 
 
 def low_degree(systems: DataFrame, graphs: list[DataFrame], most: int) -> DataFrame:
@@ -51,13 +104,19 @@ def low_degree(systems: DataFrame, graphs: list[DataFrame], most: int) -> DataFr
     return systems
 
 
-def leakage_sets(tests: DataFrame, systems: DataFrame, graphs: list[DataFrame], depth: int) -> DataFrame:
+def leakage_sets(tests: DataFrame, systems: DataFrame, graphs: list[DataFrame], depth: int, *, most: int | None = None) -> DataFrame:
     """What may not stay in training if a test system is chosen: ``system``, ``leaked``, one row each.
 
-    Its cluster, its neighbours up to ``depth`` in every graph, and its entry, without itself.
+    Its cluster, its neighbours up to ``depth`` in every graph, and its entry, without itself. With ``most`` systems
+    whose cluster or entry alone has more others than that are left out before their members are listed.
     """
     chosen = tests.select("system").distinct()
     own = systems.join(chosen, "system", "left_semi")
+    if most is not None:
+        for label in ("cluster", "entry"):
+            sizes = systems.groupBy(label).agg(F.count_distinct("system").alias("members of it"))
+            own = own.join(sizes.where(F.col("members of it") - 1 > most).select(label), label, "left_anti")
+        chosen = own.select("system").distinct()
     parts = [
         own.select("system", "cluster").join(systems.select("cluster", F.col("system").alias("leaked")), "cluster").select("system", "leaked"),
         own.select("system", "entry").join(systems.select("entry", F.col("system").alias("leaked")), "entry").select("system", "leaked"),
@@ -79,109 +138,139 @@ def prioritised(systems: DataFrame, leakage: DataFrame, rules: SplitRules) -> Da
     rows = rows.join(rows.groupBy("cluster").agg(F.max("score").alias("cluster_score")), "cluster")
     rows = top_by(rows, ["entry", "code"], [F.desc("score"), "system"], rules.per_entry_and_code, "entry rank")
     rows = top_by(rows, ["cluster"], [F.desc("score"), "system"], rules.per_test_cluster, "cluster rank")
-    place = F.row_number().over(Window.orderBy(F.desc("cluster_score"), "cluster", F.desc("score"), "system"))
-    return rows.drop("entry rank", "cluster rank").withColumn("place", place)
+    return numbered_rows(rows.drop("entry rank", "cluster rank"), [F.desc("cluster_score"), "cluster", F.desc("score"), "system"], "place")
 
 
-def choose_test(candidates: DataFrame, leakage: DataFrame, rules: SplitRules, n_systems: int) -> list[str]:
-    """Take candidates in order until there are enough, or their leaks are over the budget; then the rest of the clusters in use.
+def choose_test(candidates: DataFrame, leakage: DataFrame, rules: SplitRules, n_systems: int) -> DataFrame:
+    """The test systems, one column: candidates in order until there are enough, or until their leaks are over the
+    budget, the one that passes it included; in the latter case also all later candidates of the clusters in use.
 
-    The sequential choice runs on the driver, over the first candidates that can matter and their leaks: at most
-    ``num_test`` times the largest allowed leakage count.
+    A leak counts where it first occurs, so that the number of systems removed up to each place is a running sum over
+    at most ``num_test`` places.
     """
     budget = int(rules.max_removed_share * n_systems)
-    order = [(r["system"], r["cluster"]) for r in candidates.orderBy("place").select("system", "cluster").toLocalIterator()]
-    first = candidates.where(F.col("place") <= rules.num_test).select("system")
-    leaks: dict[str, set[str]] = {}
-    for row in leakage.join(first, "system", "left_semi").toLocalIterator():
-        leaks.setdefault(row["system"], set()).add(row["leaked"])
-    taken, removed, clusters = [], set(), set()
-    for at, (system, cluster) in enumerate(order):
-        if len(taken) >= rules.num_test:
-            break
-        taken.append(system)
-        clusters.add(cluster)
-        removed |= leaks.get(system, set())
-        if len(removed) > budget:
-            taken += [s for s, c in order[at + 1 :] if c in clusters]
-            break
-    return taken
+    first = candidates.where(F.col("place") <= rules.num_test).select("system", "place")
+    at = leakage.join(first, "system").groupBy("leaked").agg(F.min("place").alias("place"))
+    new = first.select("place").join(at.groupBy("place").agg(F.count(F.lit(1)).alias("new")), "place", "left").fillna(0, ["new"])
+    so_far = F.sum("new").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0))
+    over = new.withColumn("removed", so_far).where(F.col("removed") > budget).agg(F.min("place").alias("place")).first()["place"]
+    if over is None:
+        return first.select("system")
+    used = candidates.where(F.col("place") <= over).select("cluster").distinct()
+    rest = candidates.where(F.col("place") > over).join(used, "cluster", "left_semi").select("system")
+    return candidates.where(F.col("place") <= over).select("system").union(rest)
 
 
 def choose_val(systems: DataFrame, rules: SplitRules) -> DataFrame:
     """Validation systems of the train systems: clusters by size from the smallest that is large enough, some of each.
 
-    A cluster without a member that passes quality, or statistics, is passed over; whole clusters are taken until
-    there are enough systems. Column ``system`` and its ``val_cluster``.
+    A cluster without a member that passes quality, or without one that passes statistics, is passed over; of the
+    others the members that pass most come first, quality before statistics. Whole clusters are taken until there are
+    enough systems. Column ``system`` and its ``val_cluster``.
     """
-    train = systems.where("split = 'train'")
-    clusters = train.groupBy("val_cluster").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.coalesce("passes_quality", F.lit(False))).alias("q"), F.max("passes_statistics").alias("s")
-    )
+    quality, statistics = (F.coalesce(c, F.lit(False)) for c in ("passes_quality", "passes_statistics"))
+    train = systems.where("split = 'train'").where(F.col("val_cluster").isNotNull())
+    clusters = train.groupBy("val_cluster").agg(F.count(F.lit(1)).alias("n"), F.max(quality).alias("q"), F.max(statistics).alias("s"))
     clusters = clusters.where((F.col("n") >= rules.min_val_cluster) & F.col("q") & F.col("s"))
-    good = train.where(F.coalesce("passes_quality", F.lit(False)) & F.col("passes_statistics"))
-    picked = top_by(good, ["val_cluster"], ["system"], rules.per_val_cluster).join(clusters.select("val_cluster", "n"), "val_cluster")
-    sizes = picked.groupBy("val_cluster", "n").agg(F.count(F.lit(1)).alias("k"))
-    before = F.sum("k").over(Window.orderBy("n", "val_cluster").rowsBetween(Window.unboundedPreceding, -1))
-    wanted = sizes.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < rules.num_val)
+    clusters = clusters.select("val_cluster", "n", F.least("n", F.lit(rules.per_val_cluster)).alias("k"))
+    wanted = running(clusters, ["n", "val_cluster"], {"until": "k"}).where(F.col("until") - F.col("k") < rules.num_val)
+    order = [F.desc(2 * quality.cast("int") + statistics.cast("int")), "system"]
+    picked = top_by(train, ["val_cluster"], order, rules.per_val_cluster)
     return picked.join(wanted.select("val_cluster"), "val_cluster", "left_semi").select("system", "val_cluster")
 
 
-def assign(systems: DataFrame, graphs: list[DataFrame], rules: SplitRules) -> DataFrame:
+def assign(systems: DataFrame, graphs: list[DataFrame], rules: SplitRules, *, series: DataFrame | None = None) -> DataFrame:
     """The split of every prepared system: train, val, test or removed.
 
-    Test systems are chosen by priority and their leaks removed; then validation systems are chosen from what is
-    left, and the rest of their clusters and the train systems of their entries are removed. Test stays test.
+    Test systems are chosen by priority, those of matched ``series`` that they touch are added, and their leaks are
+    removed; then validation systems are chosen from what is left, and the rest of their clusters and the train systems
+    of their entries are removed. Removed systems with a ligand that neither train nor val has are added to the test
+    set, and their leaks removed, where there is a column ``ligand_cluster``. Test stays test.
     """
-    spark = systems.sparkSession
+    work = Workspace(systems.sparkSession, "split")
     tests = low_degree(systems.where("proto_test"), graphs, rules.leakage[1])
-    leakage = leakage_sets(tests, systems, graphs, rules.depth).persist()
-    try:
-        candidates = prioritised(systems.join(tests.select("system"), "system", "left_semi"), leakage, rules)
-        taken = choose_test(candidates, leakage, rules, systems.count())
-        kind = systems.schema["system"].dataType.simpleString()
-        test = spark.createDataFrame([(s,) for s in taken], f"system {kind}").withColumn("is_test", F.lit(True))
-        gone = leakage.join(test, "system", "left_semi").select(F.col("leaked").alias("system")).distinct().withColumn("is_gone", F.lit(True))
-        split = F.when(F.col("is_test"), "test").when(F.col("is_gone"), "removed").otherwise("train")
-        labelled = systems.join(test, "system", "left").join(gone, "system", "left").withColumn("split", split).drop("is_test", "is_gone")
-        val = choose_val(labelled, rules)
-        picked = val.select("system").withColumn("is_val", F.lit(True))
-        clusters = val.select("val_cluster").distinct().withColumn("in_cluster", F.lit(True))
-        entries = systems.join(picked, "system", "left_semi").select("entry").distinct().withColumn("in_entry", F.lit(True))
-        found = labelled.join(picked, "system", "left").join(clusters, "val_cluster", "left").join(entries, "entry", "left")
-        split = (
-            F.when(F.col("split") != "train", F.col("split"))
-            .when(F.col("is_val"), "val")
-            .when(F.coalesce("in_cluster", "in_entry").isNotNull(), "removed")
-            .otherwise("train")
-        )
-        return found.withColumn("split", split).drop("is_val", "in_cluster", "in_entry")
-    finally:
-        leakage.unpersist()
-
-
-def add_back_novel(split: DataFrame, *, label: str = "ligand_cluster") -> DataFrame:
-    """Removed systems whose ligand cluster is in neither train nor val become test."""
-    used = split.where("split in ('train', 'val')").select(label).where(F.col(label).isNotNull()).distinct().withColumn("used", F.lit(True))
-    found = split.join(used, label, "left")
-    novel = (F.col("split") == "removed") & F.col(label).isNotNull() & F.col("used").isNull() & F.coalesce("passes_quality", F.lit(False))
-    return found.withColumn("split", F.when(novel, "test").otherwise(F.col("split"))).drop("used")
-
-
-def add_back_series(split: DataFrame, series: DataFrame, *, min_unique: int = 3) -> DataFrame:
+    leakage = work.save(leakage_sets(tests, systems, graphs, rules.depth), "leakage")
+    candidates = work.save(prioritised(systems.join(tests.select("system"), "system", "left_semi"), leakage, rules), "candidates")
+    test = work.save(choose_test(candidates, leakage, rules, systems.count()), "test")
+    labelled = _labelled(systems, test, leakage)
+    if series is not None:
+        more = add_back_series(labelled, series, min_unique=rules.min_series, per_unique=rules.per_entry_and_code)
+        labelled = _labelled(systems, work.save(more.where("split = 'test'").select("system"), "test"), leakage)
+    labelled = work.save(labelled, "labelled")
+    val = work.save(choose_val(labelled, rules), "val")
+    picked = val.select("system").withColumn("is_val", F.lit(True))
+    clusters = val.select("val_cluster").distinct().withColumn("in_cluster", F.lit(True))
+    entries = systems.join(picked, "system", "left_semi").select("entry").distinct().withColumn("in_entry", F.lit(True))
+    found = labelled.join(picked, "system", "left").join(clusters, "val_cluster", "left").join(entries, "entry", "left")
+    split = (
+        F.when(F.col("split") != "train", F.col("split"))
+        .when(F.col("is_val"), "val")
+        .when(F.coalesce("in_cluster", "in_entry").isNotNull(), "removed")
+        .otherwise("train")
+    )
+    found = found.withColumn("split", split).drop("is_val", "in_cluster", "in_entry")
+    if "ligand_cluster" in systems.columns:
+        found = add_back_novel(work.save(found, "with-val"), leakage=leakage, rules=rules)
+    return found
+
+
+def _labelled(systems: DataFrame, test: DataFrame, leakage: DataFrame) -> DataFrame:
+    """Systems as test, removed as leaks of a test system, or train."""
+    test = test.select("system").distinct()
+    gone = leakage.join(test, "system", "left_semi").select(F.col("leaked").alias("system")).distinct().withColumn("is_gone", F.lit(True))
+    split = F.when(F.col("is_test"), "test").when(F.col("is_gone"), "removed").otherwise("train")
+    found = systems.join(test.withColumn("is_test", F.lit(True)), "system", "left").join(gone, "system", "left")
+    return found.withColumn("split", split).drop("is_test", "is_gone")
+
+
+def add_back_novel(split: DataFrame, *, label: str = "ligand_cluster", leakage: DataFrame | None = None, rules: SplitRules | None = None) -> DataFrame:
+    """Removed systems whose ligand cluster is in neither train nor val, and whose code no test system has, become test.
+
+    They pass quality, and statistics where there is such a column. With ``rules`` only so many are taken by entry and
+    code and by cluster, in order of the system; with ``leakage`` only systems that have a leakage set are, and the train
+    and val systems among their leaks are removed.
+    """
+    used = split.where("split in ('train', 'val')").select(label).where(F.col(label).isNotNull()).distinct()
+    codes = split.where("split = 'test'").select("code").distinct()
+    passes = [F.col("passes_quality"), *([F.col("passes_statistics")] if "passes_statistics" in split.columns else [])]
+    novel = split.where((F.col("split") == "removed") & F.col(label).isNotNull() & all_of(passes))
+    novel = novel.join(used, label, "left_anti").join(codes, "code", "left_anti")
+    if rules is not None:
+        novel = top_by(novel, ["entry", "code"], ["system"], rules.per_entry_and_code, "entry rank")
+        novel = top_by(novel, ["cluster"], ["system"], rules.per_test_cluster, "cluster rank")
+    novel = novel.select("system").distinct()
+    gone = None
+    if leakage is not None:
+        novel = novel.join(leakage.select("system").distinct(), "system", "left_semi")
+        gone = leakage.join(novel, "system", "left_semi").select(F.col("leaked").alias("system")).distinct().withColumn("is gone", F.lit(True))
+    found = split.join(novel.withColumn("is novel", F.lit(True)), "system", "left")
+    label_of = F.when(F.col("is novel"), "test")
+    if gone is not None:
+        found = found.join(gone, "system", "left")
+        label_of = label_of.when(F.col("is gone") & F.col("split").isin("train", "val"), "removed")
+    return found.withColumn("split", label_of.otherwise(F.col("split"))).drop("is novel", "is gone")
+
+
+def add_back_series(split: DataFrame, series: DataFrame, *, min_unique: int = 3, per_unique: int | None = None) -> DataFrame:
     """Removed systems of a matched series that the test set touches become test.
 
     ``series`` has series, system and unique (what tells its members apart). A series counts if a test system is in
-    it and at least ``min_unique`` of its members that pass quality and are test or removed differ; of it those
-    removed members are added whose code no test system has.
+    it; of it those removed members are added whose code no test system has, if some series of theirs has at least
+    ``min_unique`` members that differ, pass quality and are test or removed. With ``per_unique`` only so many members
+    that don't differ are added, those of most series first.
     """
     rows = split.where("split in ('test', 'removed')").where(F.coalesce("passes_quality", F.lit(False)))
     rows = rows.select("system", "code", "split").join(series.select("series", "system", "unique"), "system")
     counts = rows.groupBy("series").agg(F.count_distinct("unique").alias("n"), F.max(F.col("split") == "test").alias("touched"))
-    wide = counts.where((F.col("n") >= min_unique) & F.col("touched")).select("series")
+    rows = rows.join(counts, "series")
+    wide = rows.where(F.col("n") >= min_unique).select("system").distinct()
     used = split.where("split = 'test'").select("code").distinct()
-    added = rows.where("split = 'removed'").join(wide, "series", "left_semi").join(used, "code", "left_anti")
-    added = added.select("system").distinct().withColumn("is added", F.lit(True))
+    added = rows.where("touched and split = 'removed'").join(used, "code", "left_anti")
+    if per_unique is not None:
+        many = rows.groupBy("system").agg(F.count_distinct("series").alias("number of series"))
+        one = added.select("system", "unique").distinct().join(many, "system")
+        added = top_by(one, ["unique"], [F.desc("number of series"), "system"], per_unique)
+    added = added.select("system").distinct().join(wide, "system", "left_semi").withColumn("is added", F.lit(True))
     return split.join(added, "system", "left").withColumn("split", F.when(F.col("is added"), "test").otherwise(F.col("split"))).drop("is added")
 
 
@@ -198,6 +287,20 @@ def max_leakage(edges: DataFrame, split: DataFrame, left: str, right: str, *, sc
     return best_match(oriented(edges, a, b, query=query, target=target), by=query, other=target, score=score)
 
 
+def split_pair(split: DataFrame, pair: str, *, missing: DataFrame | None = None, key: str = "system_id") -> tuple[DataFrame, DataFrame]:
+    """The ids of the two sets that ``left_right`` names, without those of ``missing`` (one column). Another form is a ValueError."""
+    names = pair.split("_")
+    if len(names) != 2 or not all(names):
+        raise ValueError(f"a pair of sets is written left_right, not {pair!r}")
+    sides = []
+    for name in names:
+        ids = split.where(F.col("split") == name).select(F.col(key).alias("system")).distinct()
+        if missing is not None:
+            ids = ids.join(missing.select(F.col(missing.columns[0]).alias("system")), "system", "left_anti")
+        sides.append(ids)
+    return sides[0], sides[1]
+
+
 def singletons(labels: DataFrame, *, label: str = "label") -> DataFrame:
     """Rows whose label no other row has."""
     alone = labels.groupBy(label).agg(F.count(F.lit(1)).alias("n")).where("n = 1").select(label)

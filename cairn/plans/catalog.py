@@ -376,7 +376,7 @@ def systems_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 RULES = split.SplitRules(
-    min_test_cluster=5, leakage=(3, 5000), num_test=200, min_val_cluster=5, num_val=200, ranges={"price": (1000, 300_000)}, weights={"leakage_count": -1.0}
+    min_test_cluster=5, leakage=(3, 5000), num_test=200, min_val_cluster=5, num_val=200, ranges={"price": (1000, 300_000)}, criteria=(), weights={"leakage_count": -1.0}
 )
 
 SYSTEMS = """systems as (
@@ -393,7 +393,7 @@ SYSTEMS = """systems as (
 @query(f"with {GRAPH}, {SYSTEMS} select system, count(*) as leakage_count from leaks group by 1 having count(*) between 3 and 5000")
 def leakage_counts(spark, sf):
     systems = split.prepare(systems_of(spark, sf), RULES)
-    leaks = split.leakage_sets(systems.where("proto_test"), systems, [graph_of(spark, sf)], 1)
+    leaks = split.leakage_sets(systems.where("proto_test"), systems, [graph_of(spark, sf)], 1, most=RULES.leakage[1])
     return leaks.groupBy("system").agg(F.count(F.lit(1)).alias("leakage_count")).where("leakage_count between 3 and 5000")
 
 
@@ -409,7 +409,33 @@ def test_priority(spark, sf):
     return split.prioritised(systems, leaks, RULES).select("system", "cluster", "score", F.col("place").cast("long").alias("place"))
 
 
-@query()
+PRIORITY = """n as (select system, count(*) as leakage_count from leaks group by 1 having count(*) between 3 and 5000),
+    r as (select t.system, entry, code, cluster, -leakage_count as score from tests t join n using (system)),
+    c as (select *, max(score) over (partition by cluster) as cluster_score from r),
+    e as (select * from c qualify row_number() over (partition by entry, code order by score desc, system) <= 1),
+    k as (select * from e qualify row_number() over (partition by cluster order by score desc, system) <= 2),
+    places as (select *, row_number() over (order by cluster_score desc, cluster, score desc, system) as place from k)"""
+
+
+@query(f"""with {GRAPH}, {SYSTEMS}, {PRIORITY},
+    firsts as (select l.leaked, min(p.place) as place from leaks l join places p using (system) where p.place <= 200 group by 1),
+    sums as (select p.place, sum(coalesce(f.k, 0)) over (order by p.place) as removed
+             from places p left join (select place, count(*) as k from firsts group by 1) f using (place) where p.place <= 200),
+    cut as (select min(place) as last_place from sums where removed > cast(floor(0.2 * (select count(*) from systems)) as bigint)),
+    test as (select system from places, cut where place <= coalesce(last_place, 200)
+             union select p.system from places p, cut where last_place is not null and p.place > last_place
+                   and p.cluster in (select q.cluster from places q where q.place <= last_place)),
+    gone as (select distinct leaked as system from leaks where system in (select system from test)),
+    marked as (select o_orderkey as system, o_custkey as entry, o_custkey % 97 as val_cluster, o_orderstatus <> 'P' as q, o_totalprice between 1000 and 300000 as s,
+                      case when o_orderkey in (select system from test) then 'test' when o_orderkey in (select system from gone) then 'removed' else 'train' end as split
+               from orders),
+    vc as (select val_cluster, count(*) as n, least(count(*), 3) as k from marked where split = 'train' group by 1 having count(*) >= 5 and bool_or(q) and bool_or(s)),
+    vs as (select val_cluster from (select *, sum(k) over (order by n, val_cluster) as until from vc) where until - k < 200),
+    val as (select system, entry, val_cluster from marked where split = 'train' and val_cluster in (select val_cluster from vs)
+            qualify row_number() over (partition by val_cluster order by 2 * cast(q as int) + cast(s as int) desc, system) <= 3)
+    select system, case when split <> 'train' then split when system in (select system from val) then 'val'
+                        when val_cluster in (select val_cluster from val) or entry in (select entry from val) then 'removed' else 'train' end as split
+    from marked""")
 def split_assignment(spark, sf):
     return split.assign(split.prepare(systems_of(spark, sf), RULES), [graph_of(spark, sf)], RULES).select("system", "split")
 

@@ -175,7 +175,7 @@ def test_split_invariants(spark):
     rows = [(k, k // 3, f"l{k % 5}", k % 12, k % 9, True, float(rng.randint(1, 9)), f"u{k}") for k in range(240)]
     systems = spark.createDataFrame(rows, "system long, entry long, code string, cluster long, val_cluster long, passes_quality boolean, size double, uniqueness string")
     edges = spark.createDataFrame([(rng.randrange(240), rng.randrange(240)) for _ in range(120)], "src long, dst long")
-    rules = split.SplitRules(leakage=(1, 60), num_test=5, min_val_cluster=3, num_val=6, per_val_cluster=2, max_removed_share=0.5, ranges={"size": (1, 9)})
+    rules = split.SplitRules(leakage=(1, 60), num_test=5, min_val_cluster=3, num_val=6, per_val_cluster=2, max_removed_share=0.5, ranges={"size": (1, 9)}, criteria=(), weights={"leakage_count": -1.0})
     found = split.assign(split.prepare(systems, rules), [edges], rules)
     by = as_map(found, "system", "split")
     assert set(by) == set(range(240)) and set(by.values()) == {"train", "val", "test", "removed"}
