@@ -150,28 +150,157 @@ def _settle(work: Workspace, labels: DataFrame, step) -> DataFrame:
             return labels
 
 
-def communities(edges: DataFrame, *, src: str = "src", dst: str = "dst", weight: str | None = None, rounds: int = 8) -> DataFrame:
-    """Communities by synchronous label propagation: ``node``, ``community``.
+def label_propagation(edges: DataFrame, *, src: str = "src", dst: str = "dst", weight: str | None = None, rounds: int = 60) -> DataFrame:
+    """Groups by synchronous label propagation: ``node``, ``community``.
 
     Each round a vertex takes the label with the largest total weight among its neighbours and, at a small weight,
-    itself; of equal ones the smallest. The result is the same for the same edges.
+    itself; of equal ones the smallest. It ends when no label changes, or when labels return to what they were two
+    rounds before, where each vertex keeps the smaller of its two; labels that do neither within ``rounds`` are a
+    RuntimeError.
     """
-    spark = edges.sparkSession
-    work = Workspace(spark, "communities")
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    one = edges.select(F.col(src).alias("u"), F.col(dst).alias("v"), w.alias("w")).where("u <> v")
-    both = one.union(one.select(F.col("v").alias("u"), F.col("u").alias("v"), "w")).groupBy("u", "v").agg(F.max("w").alias("w"))
-    both = work.save(both, "edges")
-    labels = work.save(both.select(F.col("u").alias("node"), F.col("u").alias("c")).distinct(), "labels")
+    work = Workspace(edges.sparkSession, "propagation")
+    both = work.save(_weighted(edges, src, dst, weight).where("u <> v"), "edges")
+    labels = work.save(both.select(F.col("u").alias("node"), F.col("u").alias("c"), F.col("u").alias("old")).distinct(), "labels")
     for _ in range(rounds):
         votes = both.join(labels.select(F.col("node").alias("v"), "c"), "v").select(F.col("u").alias("node"), "c", "w")
         votes = votes.union(labels.select("node", "c", F.lit(1e-3))).groupBy("node", "c").agg(F.round(F.sum("w"), 9).alias("w"))
-        best = votes.groupBy("node").agg(F.max(F.struct(F.col("w"), (-F.col("c")).alias("c")))["c"].alias("c")).select("node", (-F.col("c")).alias("c"))
-        new = work.save(best, "labels")
-        if new.join(labels.withColumnRenamed("c", "old"), "node").where("c <> old").isEmpty():
+        best = votes.groupBy("node").agg(F.min_by("c", F.struct((-F.col("w")).alias("w"), "c")).alias("next"))
+        new = work.save(labels.join(best, "node").select("node", F.col("next").alias("c"), F.col("c").alias("old"), F.col("old").alias("older")), "labels")
+        changed = new.agg(F.max(F.col("c") != F.col("old")).alias("now"), F.max(F.col("c") != F.col("older")).alias("two")).first()
+        work.drop(labels)
+        labels = new.select("node", "c", "old")
+        if not changed["now"]:
+            return labels.select("node", F.col("c").alias("community"))
+        if not changed["two"]:
+            return labels.select("node", F.least("c", "old").alias("community"))
+    raise RuntimeError(f"labels did not settle in {rounds} rounds")
+
+
+def _weighted(edges: DataFrame, src: str, dst: str, weight: str | None) -> DataFrame:
+    """Each linked pair in both directions, with the largest weight it is given in either; self loops once."""
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    one = edges.select(F.col(src).alias("u"), F.col(dst).alias("v"), w.alias("w")).where("u is not null and v is not null and w > 0")
+    both = one.union(one.where("u <> v").select(F.col("v").alias("u"), F.col("u").alias("v"), "w"))
+    return both.groupBy("u", "v").agg(F.max("w").alias("w"))
+
+
+def modularity(edges: DataFrame, labels: DataFrame, *, src: str = "src", dst: str = "dst", weight: str | None = None) -> DataFrame:
+    """Modularity of a partition (``node``, ``community``) of the undirected graph: one row, ``modularity``, null without edges."""
+    both = _weighted(edges, src, dst, weight)
+    of_u, of_v = labels.select(F.col("node").alias("u"), F.col("community").alias("cu")), labels.select(F.col("node").alias("v"), F.col("community").alias("cv"))
+    ends = both.join(of_u, "u").join(of_v, "v")
+    sums = ends.groupBy("cu").agg(F.sum("w").alias("all"), F.sum(F.when(F.col("cu") == F.col("cv"), F.col("w")).otherwise(0.0)).alias("inside"))
+    whole = sums.agg(F.sum("all").alias("m"))
+    share = F.col("inside") / F.col("m") - (F.col("all") / F.col("m")) ** 2
+    return sums.join(F.broadcast(whole)).agg(F.sum(share).alias("modularity"))
+
+
+def communities(
+    edges: DataFrame,
+    *,
+    src: str = "src",
+    dst: str = "dst",
+    weight: str | None = None,
+    resolution: float = 1.0,
+    rounds: int = 8,
+    levels: int = 10,
+) -> DataFrame:
+    """Communities of high modularity: ``node``, ``community`` (its smallest member).
+
+    Parallel local moving and contraction: in a round the vertices of one half, by a hash, each move to the neighbouring
+    community with the largest gain in modularity, of equal ones the smallest; halves take turns, until neither moves or
+    for ``rounds`` rounds. Communities are then contracted to vertices and moved in turn, until a level gains nothing.
+    The same edges give the same result. Every round is two joins and two aggregates, and is written.
+    """
+    spark = edges.sparkSession
+    work = Workspace(spark, "communities")
+    links = work.save(_weighted(edges, src, dst, weight), "edges")
+    total = links.agg(F.sum("w")).first()[0]
+    members = work.save(links.select(F.col("u").alias("node"), F.col("u").alias("community")).distinct(), "members")
+    for _ in range(levels if total else 0):
+        labels, moved = _moved(work, links, total, resolution, rounds)
+        if not moved:
             break
-        labels = new
-    return labels.select("node", F.col("c").alias("community"))
+        named = labels.select(F.col("node").alias("community"), F.col("c").alias("next"))
+        members = work.save(members.join(named, "community").select("node", F.col("next").alias("community")), "members")
+        cu, cv = labels.select(F.col("node").alias("u"), F.col("c").alias("cu")), labels.select(F.col("node").alias("v"), F.col("c").alias("cv"))
+        links = work.save(links.join(cu, "u").join(cv, "v").groupBy(F.col("cu").alias("u"), F.col("cv").alias("v")).agg(F.sum("w").alias("w")), "edges")
+    low = members.groupBy("community").agg(F.min("node").alias("low"))
+    return members.join(low, "community").select("node", F.col("low").alias("community"))
+
+
+def _moved(work: Workspace, links: DataFrame, total: float, resolution: float, rounds: int) -> tuple[DataFrame, bool]:
+    """Labels (node, c) after local moving, and whether any vertex moved."""
+    degree = work.save(links.groupBy(F.col("u").alias("node")).agg(F.sum("w").alias("k")), "degrees")
+    labels = work.save(degree.select("node", "k", F.col("node").alias("c")), "labels")
+    moved, still = False, 0
+    for number in range(rounds):
+        ends = links.where("u <> v").join(labels.select(F.col("node").alias("v"), F.col("c").alias("to")), "v")
+        near = ends.groupBy(F.col("u").alias("node"), "to").agg(F.sum("w").alias("w"))
+        own = labels.select("node", F.col("c").alias("to"), F.lit(0.0).alias("w"))
+        near = near.union(own).groupBy("node", "to").agg(F.sum("w").alias("w"))
+        size = labels.groupBy(F.col("c").alias("to")).agg(F.sum("k").alias("size"))
+        rows = near.join(labels, "node").join(size, "to")
+        others = F.col("size") - F.when(F.col("to") == F.col("c"), F.col("k")).otherwise(0.0)
+        gain = F.round((F.col("w") - resolution * F.col("k") * others / total) / total, 12)
+        best = rows.withColumn("gain", gain).groupBy("node").agg(
+            F.min_by("to", F.struct((-F.col("gain")).alias("g"), F.col("to").alias("t"))).alias("best"),
+            F.max("gain").alias("most"),
+            F.max(F.when(F.col("to") == F.col("c"), F.col("gain"))).alias("stays"),
+        )
+        turn = F.pmod(F.xxhash64("node"), F.lit(2)) == number % 2
+        goes = turn & (F.col("most") > F.col("stays"))
+        new = labels.join(best, "node").select("node", "k", F.when(goes, F.col("best")).otherwise(F.col("c")).alias("c"), (goes & (F.col("best") != F.col("c"))).alias("went"))
+        new = work.save(new, "labels")
+        work.drop(labels)
+        went = not new.where("went").isEmpty()
+        labels = new.select("node", "k", "c")
+        moved, still = moved or went, 0 if went else still + 1
+        if still == 2:
+            break
+    return labels, moved
+
+
+def clusterings(
+    edges: DataFrame, ids: DataFrame, *, metric: str, threshold: int, src: str = "src", dst: str = "dst", weight: str | None = None
+) -> DataFrame:
+    """All clusterings of one metric and threshold: system_id, label, metric, cluster, directed, threshold.
+
+    Strong components of the directed graph, weak components, and communities of the weighted undirected graph. Ids (one
+    column) without a link are clusters of their own.
+    """
+
+    def named(found: DataFrame, group: str, cluster: str, directed: bool) -> DataFrame:
+        labels = ranked_labels(found, ids, component=group)
+        constants = {"metric": metric, "cluster": cluster, "directed": directed, "threshold": threshold}
+        return labels.select(F.col("node").alias("system_id"), "label", *[F.lit(v).alias(k) for k, v in constants.items()])
+
+    parts = [
+        named(strong_components(edges, src=src, dst=dst), "component", "components", True),
+        named(connected_components(edges, src=src, dst=dst), "component", "components", False),
+        named(communities(edges, src=src, dst=dst, weight=weight), "community", "communities", False),
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+def protein_edges(scores: DataFrame, systems: DataFrame, *, metric: str, threshold: int) -> tuple[DataFrame, DataFrame]:
+    """Edges (src, dst, similarity) of a metric from a threshold on, between systems of the table, and the ids of those.
+
+    ``systems`` has system_id, system_type, and the numbers of chains; only holo systems of at most five chains of
+    either kind take part.
+    """
+    ids = systems.where("system_type = 'holo' and system_num_protein_chains <= 5 and system_num_ligand_chains <= 5").select("system_id").distinct()
+    rows = scores.where((F.col("metric") == metric) & (F.col("similarity") >= threshold))
+    for side in ("query_system", "target_system"):
+        rows = rows.join(ids.withColumnRenamed("system_id", side), side, "left_semi")
+    return rows.select(F.col("query_system").alias("src"), F.col("target_system").alias("dst"), "similarity"), ids
+
+
+def ligand_edges(scores: DataFrame, ligands: DataFrame, *, threshold: int, metric: str = "tanimoto_similarity_max") -> tuple[DataFrame, DataFrame]:
+    """Edges (src, dst, similarity) of ligands, whose numbers are made texts, from a threshold on, and the ids of all ligands."""
+    ids = ligands.select(F.col("number_id_by_inchikeys").cast("string").alias("system_id")).where("system_id is not null").distinct()
+    ends = [F.col(f"{side}_ligand_id").cast("string").alias(name) for side, name in (("query", "src"), ("target", "dst"))]
+    return scores.where(F.col(metric) >= threshold).select(*ends, F.col(metric).alias("similarity")), ids
 
 
 def ranked_labels(components: DataFrame, nodes: DataFrame | None = None, *, node: str = "node", component: str = "component") -> DataFrame:

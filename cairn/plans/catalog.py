@@ -347,6 +347,19 @@ def communities(spark, sf):
     return graph.communities(graph_of(spark, sf))
 
 
+@query(f"""with recursive {GRAPH},
+    bi as (select src, dst from links union select dst, src from links),
+    reach(node, c) as (select src, src from bi union select b.dst, r.c from reach r join bi b on b.src = r.node where r.c < b.dst),
+    comp as materialized (select node, min(c) as c from reach group by node),
+    ends as (select x.c as cu, y.c as cv from bi join comp x on x.node = src join comp y on y.node = dst),
+    sums as (select cu, count(*) as total, count(*) filter (cu = cv) as inside from ends group by 1)
+    select round(sum(cast(inside as double) / m - power(cast(total as double) / m, 2)), 9) as modularity from sums, (select sum(total) as m from sums)""")
+def component_modularity(spark, sf):
+    edges = graph_of(spark, sf)
+    labels = graph.connected_components(edges).withColumnRenamed("component", "community")
+    return graph.modularity(edges, labels).select(F.round("modularity", 9).alias("modularity"))
+
+
 # Splits and leakage.
 
 

@@ -64,10 +64,143 @@ def test_neighbours_and_degree(spark):
     assert as_map(graph.degrees(path), "node", "degree") == {"a": 1, "b": 2, "c": 2, "d": 1}
 
 
-def test_communities_partition_and_follow_links(spark):
+def best_moves(edges, turn, rounds=8, levels=10):
+    """Local moving and contraction as documented, vertex by vertex."""
+    links = {}
+    for a, b in edges:
+        links[a, b] = links[b, a] = 1.0
+    total = sum(links.values())
+    member = {u: u for u, _ in links}
+    for _ in range(levels):
+        k = {}
+        for (u, _), w in links.items():
+            k[u] = k.get(u, 0) + w
+        label, moved, still = {u: u for u in k}, False, 0
+        for number in range(rounds):
+            size = {}
+            for u, c in label.items():
+                size[c] = size.get(c, 0) + k[u]
+            new = dict(label)
+            for u in k:
+                near = {label[u]: 0.0}
+                for (a, b), w in links.items():
+                    if a == u and b != u:
+                        near[label[b]] = near.get(label[b], 0) + w
+                gain = {c: round((w - k[u] * (size[c] - (k[u] if c == label[u] else 0)) / total) / total, 12) for c, w in near.items()}
+                best = min(gain, key=lambda c: (-gain[c], c))
+                if turn(u) == number % 2 and gain[best] > gain[label[u]]:
+                    new[u] = best
+            went = new != label
+            label, moved, still = new, moved or went, 0 if went else still + 1
+            if still == 2:
+                break
+        if not moved:
+            break
+        member = {u: label[c] for u, c in member.items()}
+        merged = {}
+        for (a, b), w in links.items():
+            merged[label[a], label[b]] = merged.get((label[a], label[b]), 0) + w
+        links = merged
+    low = {}
+    for u, c in member.items():
+        low[c] = min(u, low.get(c, u))
+    return {u: low[c] for u, c in member.items()}
+
+
+def quality_of(edges, label):
+    links = {(a, b) for a, b in edges} | {(b, a) for a, b in edges}
+    m = len(links)
+    inside, total = {}, {}
+    for a, b in links:
+        total[label[a]] = total.get(label[a], 0) + 1
+        inside[label[a]] = inside.get(label[a], 0) + (label[a] == label[b])
+    return sum(inside[c] / m - (total[c] / m) ** 2 for c in total)
+
+
+def test_communities_equal_brute_force(spark):
+    rng = random.Random(4)
+    group = {v: v // 8 for v in range(40)}
+    edges = sorted({(a, b) for a in range(40) for b in range(a) if rng.random() < (0.6 if group[a] == group[b] else 0.02)})
+    df = pairs(spark, edges, "src long, dst long")
+    side = {r.id: r.t for r in spark.range(40).select("id", F.pmod(F.xxhash64("id"), F.lit(2)).alias("t")).collect()}
+    found = as_map(graph.communities(df), "node", "community")
+    assert found == best_moves(edges, side.get)
+    labels = graph.communities(df)
+    assert graph.modularity(df, labels).first().modularity == pytest.approx(quality_of(edges, found)) and quality_of(edges, found) > 0.6
+    assert graph.communities(pairs(spark, [], "src long, dst long")).count() == 0
+    assert graph.modularity(pairs(spark, [], "src long, dst long"), labels).first().modularity is None
+
+
+def test_label_propagation_settles(spark):
     clique = [(a, b) for a in range(5) for b in range(a)] + [(a + 10, b + 10) for a in range(5) for b in range(a)] + [(0, 10)]
-    found = as_map(graph.communities(pairs(spark, clique, "src long, dst long")), "node", "community")
+    found = as_map(graph.label_propagation(pairs(spark, clique, "src long, dst long")), "node", "community")
     assert len({found[k] for k in range(5)}) == 1 and len({found[k + 10] for k in range(5)}) == 1 and set(found) == {*range(5), *range(10, 15)}
+    star = as_map(graph.label_propagation(pairs(spark, [(0, k) for k in range(1, 5)], "src long, dst long")), "node", "community")
+    assert len(set(star.values())) == 1
+
+
+def test_clusterings_and_edges(spark):
+    scores = spark.createDataFrame([("a", "b", "m", 60), ("b", "a", "m", 70), ("b", "c", "m", 55), ("c", "x", "m", 99), ("a", "c", "n", 90), ("c", "d", "m", 10)], "query_system string, target_system string, metric string, similarity int")
+    systems = spark.createDataFrame([(s, "ion" if s == "x" else "holo", 1, 1) for s in "abcdx"], "system_id string, system_type string, system_num_protein_chains int, system_num_ligand_chains int")
+    edges, ids = graph.protein_edges(scores, systems, metric="m", threshold=50)
+    assert sorted((r.src, r.dst) for r in edges.collect()) == [("a", "b"), ("b", "a"), ("b", "c")] and {r[0] for r in ids.collect()} == set("abcd")
+    found = {(r.cluster, r.directed, r.system_id): r.label for r in graph.clusterings(edges, ids, metric="m", threshold=50, weight="similarity").collect()}
+    assert [found["components", False, s] for s in "abcd"] == ["c0", "c0", "c0", "c1"]
+    assert [found["components", True, s] for s in "abcd"] == ["c0", "c0", "c1", "c2"]
+    assert len({found["communities", False, s] for s in "abc"}) < 3 and len(found) == 12
+    ligands = spark.createDataFrame([(1, 2, 80), (2, 3, 10)], "query_ligand_id int, target_ligand_id int, tanimoto_similarity_max int")
+    numbers = spark.createDataFrame([(1,), (2,), (3,), (None,)], "number_id_by_inchikeys int")
+    edges, ids = graph.ligand_edges(ligands, numbers, threshold=50)
+    assert [tuple(r) for r in edges.collect()] == [("1", "2", 80)] and {r[0] for r in ids.collect()} == {"1", "2", "3"}
+
+
+def test_greedy_mapping_equals_brute_force(spark):
+    rng = random.Random(6)
+    rows = [(g, a, b, rng.choice([0.0, 0.25, 0.5, 0.75, 1.0])) for g in range(12) for a in range(rng.randint(1, 5)) for b in range(rng.randint(1, 5))]
+    want = set()
+    for g in range(12):
+        open_ = {(a, b): s for k, a, b, s in rows if k == g and s > 0}
+        while open_:
+            a, b = min(open_, key=lambda p: (-open_[p], p))
+            want.add((g, a, b, open_[a, b]))
+            open_ = {p: s for p, s in open_.items() if p[0] != a and p[1] != b}
+    found = similarity.greedy_mapping(spark.createDataFrame(rows, "k int, l int, r int, score double"), keys=["k"], left="l", right="r", score="score")
+    assert {tuple(r) for r in found.collect()} == want
+
+
+def test_orders_by_ranges(spark):
+    from cairn.operators import ordered
+
+    rng = random.Random(3)
+    rows = [(k, rng.choice("abc"), rng.randint(0, 9)) for k in range(200)]
+    df = spark.createDataFrame(rows, "k int, g string, v int")
+    place = sorted(rows, key=lambda r: (-r[2], r[0]))
+    found = as_map(ordered.numbered_rows(df, [F.desc("v"), "k"], "place"), "k", "place")
+    assert found == {r[0]: i for i, r in enumerate(place, 1)}
+    total, want = 0, {}
+    for r in place:
+        total += r[2]
+        want[r[0]] = total
+    assert as_map(ordered.running(df, [F.desc("v"), "k"], {"sum": "v"}), "k", "sum") == want
+    assert as_map(ordered.medians(df, ["g"], "v"), "g", "median") == {g: float(np.median([r[2] for r in rows if r[1] == g])) for g in "abc"}
+    assert ordered.numbered_rows(df.limit(0), ["k"], "place").count() == 0 and ordered.medians(df.limit(0), ["g"], "v").count() == 0
+
+
+def test_joins_of_totals_split_hot_groups(spark):
+    from cairn.operators import hot
+
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, None).otherwise(F.col("id") % 700).alias("k"), "id")
+    rows.write.mode("overwrite").saveAsTable("hot_rows")
+    rows = spark.table("hot_rows")
+    rows.groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("m")).write.mode("overwrite").saveAsTable("hot_totals")
+    totals = spark.table("hot_totals")
+    for merge in (False, True):
+        found = hot.join_totals(rows, totals, ["k"], size="n", salt=F.col("id"), merge=merge)
+        assert found.columns == ["k", "id", "n", "m"] and found.count() == 3000
+        assert found.exceptAll(rows.join(totals, rows.k.eqNullSafe(totals.k)).select(rows.k, "id", "n", "m")).count() == 0
+    assert hot.hot_groups(totals, "n").where("k is null").count() == 1
+    some = totals.where("k < 100")
+    assert hot.join_totals(rows, some, ["k"], size="n", salt=F.col("id"), how="inner").count() == rows.where("k < 100").count()
 
 
 def test_overlap(spark):
