@@ -87,6 +87,24 @@ def multi_metric(scores: DataFrame, criteria: dict[str, float], *, keys: Sequenc
     return wide
 
 
+def select_links(
+    scores: DataFrame, criteria: dict[str, float], ranking: DataFrame, *, most: int = 5, ascending: bool = True
+) -> DataFrame:
+    """Links of systems to structures of other entries that meet all criteria: reference_system_id, id, the metrics, sort_score, rank.
+
+    ``scores`` has query_system, target_system, metric and similarity; ``ranking`` target_id (what stands before the first
+    ``_`` of a target) and sort_score, a resolution (ascending) or confidence (descending). Targets without a score are
+    left out; of each system the ``most`` best stay, equal ones by id.
+    """
+    wide = multi_metric(scores, criteria, keys=("query_system", "target_system"))
+    wide = wide.where(F.left("query_system", F.lit(4)) != F.left("target_system", F.lit(4)))
+    rows = wide.withColumn("target_id", F.substring_index("target_system", "_", 1)).join(ranking.where("sort_score is not null"), "target_id")
+    order = [F.asc("sort_score") if ascending else F.desc("sort_score"), F.asc("target_system")]
+    rank = F.row_number().over(Window.partitionBy("query_system").orderBy(*order))
+    found = rows.withColumn("rank", rank).where(F.col("rank") <= most)
+    return found.withColumnsRenamed({"query_system": "reference_system_id", "target_system": "id"}).drop("target_id")
+
+
 def melt(df: DataFrame, metrics: Sequence[str], *, keys: Sequence[str], metric: str = "metric", value: str = "similarity") -> DataFrame:
     """A row by metric with its percent, rounded half to even; null scores give none."""
     rows = F.array(*[F.struct(F.lit(m).alias(metric), half_even_percent(F.col(m)).cast("int").alias(value)) for m in metrics])

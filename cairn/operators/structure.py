@@ -114,3 +114,136 @@ def fingerprints(molecules: DataFrame, *, smiles: str, radius: int = 2, size: in
             yield batch.assign(bits=[list(make.GetFingerprint(m).GetOnBits()) if m else None for m in found])
 
     return molecules.mapInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in molecules.schema)}, bits array<int>")
+
+
+def concatenated(left: DataFrame, right: DataFrame, *, key: str = "system_id", mark: str = "--") -> DataFrame:
+    """Atoms of two structures (one each) as one, whose id joins theirs."""
+    name = left.select(key).limit(1).join(right.select(F.col(key).alias("other")).limit(1)).select(F.concat_ws(mark, key, "other").alias("joined"))
+    return left.drop(key).unionByName(right.drop(key)).join(F.broadcast(name)).withColumnRenamed("joined", key)
+
+
+def superimposed_structures(fixed: DataFrame, mobile: DataFrame, *, keys: tuple[str, ...] = ("chain", "residue"), atom: str = "CA") -> tuple[np.ndarray, np.ndarray, float, float]:
+    """Rotation, shift, RMSD of all common atoms of a kind and RMSD without outliers, of two structures' atom tables."""
+    axes = ("x", "y", "z")
+    a = fixed.where(F.col("atom") == atom).select(*keys, *[F.col(c).alias(f"f{c}") for c in axes])
+    b = mobile.where(F.col("atom") == atom).select(*keys, *[F.col(c).alias(f"m{c}") for c in axes])
+    rows = a.join(b, list(keys)).orderBy(*keys).toPandas()  # atoms of one kind of one structure
+    f, m = rows[[f"f{c}" for c in axes]].to_numpy(float), rows[[f"m{c}" for c in axes]].to_numpy(float)
+    raw = superimposed(f, m)[2]
+    rotation, shift, rmsd, _ = refined(f, m)
+    return rotation, shift, raw, rmsd
+
+
+def common_sequence(left: str, right: str, **scores: float) -> list[tuple[int, int]]:
+    """Positions of two sequences that the best alignment puts together and that are equal."""
+    return [(i, j) for i, j in global_alignment(left, right, **scores) if i is not None and j is not None and left[i] == right[j]]
+
+
+def atom_mask(atoms: DataFrame, residues: DataFrame, full: dict[str, tuple[str, ...]]) -> DataFrame:
+    """0/1 by atom that a residue should have: system_id, chain, residue, mask.
+
+    ``residues`` has system_id, chain, residue, residue_name and resolved; ``full`` the atoms of each residue name. A
+    residue that isn't resolved is all 0, one of an unknown name has an empty mask.
+    """
+    held = atoms.groupBy("system_id", "chain", "residue").agg(F.collect_set("atom").alias("atoms"))
+    table = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for pair in full.items() for x in pair])
+    wanted = F.coalesce(F.try_element_at(table, F.col("residue_name")), F.array().cast("array<string>"))
+    rows = residues.join(held, ["system_id", "chain", "residue"], "left")
+    found = F.transform(wanted, lambda a: (F.col("resolved") & F.coalesce(F.array_contains("atoms", a), F.lit(False))).cast("int"))
+    return rows.select("system_id", "chain", "residue", found.alias("mask"))
+
+
+#: Radii of elements in Å, for surfaces; any other has that of carbon. Fixed values.
+RADII = {"C": 1.7, "N": 1.55, "O": 1.52, "S": 1.8, "P": 1.8, "H": 1.2}
+
+
+def surface(points: np.ndarray, elements: list[str], *, number: int = 200, probe: float = 1.4) -> np.ndarray:
+    """Accessible surface of each atom by points on a sphere around it that lie in no other atom's."""
+    if not len(points):
+        return np.empty(0)
+    k = np.arange(number) + 0.5
+    polar, turn = np.arccos(1 - 2 * k / number), np.pi * (1 + 5**0.5) * k
+    sphere = np.stack([np.cos(turn) * np.sin(polar), np.sin(turn) * np.sin(polar), np.cos(polar)], axis=1)
+    radius = np.array([RADII.get(e.upper(), RADII["C"]) for e in elements]) + probe
+    out = np.empty(len(points))
+    for i, (at, r) in enumerate(zip(points, radius)):
+        far = np.sqrt(((points - at) ** 2).sum(axis=1))
+        near = np.flatnonzero((far < r + radius) & (np.arange(len(points)) != i))
+        dots = at + r * sphere
+        free = np.ones(number, bool)
+        for j in near:
+            free &= ((dots - points[j]) ** 2).sum(axis=1) >= radius[j] ** 2
+        out[i] = 4 * np.pi * r**2 * free.mean()
+    return out
+
+
+def buried_surface(a: np.ndarray, b: np.ndarray, elements: tuple[list[str], list[str]], *, number: int = 200) -> int:
+    """Surface that two parts lose together, rounded."""
+    parts = surface(a, elements[0], number=number).sum() + surface(b, elements[1], number=number).sum()
+    return int(round(parts - surface(np.concatenate([a, b]), [*elements[0], *elements[1]], number=number).sum()))
+
+
+class System:
+    """One system of the tables, read when asked for: its entry document, row, files and linked structures.
+
+    ``entries`` has the column ``entry`` (:data:`cairn.operators.annotate.ENTRY`), ``links`` reference_system_id, id and
+    kind, ``files`` path and content; each is optional.
+    """
+
+    def __init__(self, system_id: str, *, entries: DataFrame | None = None, links: DataFrame | None = None, files: DataFrame | None = None):
+        if len(system_id.split("__")) != 4:
+            raise ValueError(f"a system id is entry__biounit__chains__ligands, not {system_id!r}")
+        self.system_id, self._entries, self._links, self._files = system_id, entries, links, files
+
+    def __repr__(self) -> str:
+        return f"System({self.system_id!r})"
+
+    @property
+    def entry_id(self) -> str:
+        return self.system_id.split("__")[0]
+
+    @property
+    def protein_chains(self) -> list[str]:
+        return self.system_id.split("__")[2].split("_")
+
+    @property
+    def ligand_chains(self) -> list[str]:
+        return self.system_id.split("__")[3].split("_")
+
+    @property
+    def entry(self) -> dict:
+        """The entry document; KeyError where there is none."""
+        row = self._entries.where(F.col("entry.pdb_id") == self.entry_id).first() if self._entries is not None else None
+        if row is None:
+            raise KeyError(f"no entry {self.entry_id}")
+        return row["entry"].asDict(recursive=True)
+
+    @property
+    def ligands(self) -> DataFrame:
+        from cairn.operators import annotate
+
+        return annotate.ligands(self._entries.where(F.col("entry.pdb_id") == self.entry_id)).where(F.col("system_id") == self.system_id)
+
+    @property
+    def smiles(self) -> dict[str, str]:
+        """SMILES by ligand chain, empty where there is none."""
+        return {f"{r['ligand_instance']}.{r['ligand_asym_id']}": r["ligand_rdkit_canonical_smiles"] or "" for r in self.ligands.collect()}
+
+    @property
+    def linked_structures(self) -> DataFrame:
+        return self._links.where(F.col("reference_system_id") == self.system_id)
+
+    def files(self, pattern: str = ".*") -> dict[str, bytes]:
+        """Files of the system by name, of those that match."""
+        rows = self._files.where(F.contains("path", F.lit(f"/{self.system_id}/")) & F.col("path").rlike(pattern))
+        return {r["path"].rsplit("/", 1)[-1]: bytes(r["content"]) for r in rows.collect()}
+
+    @property
+    def sequences(self) -> dict[str, str]:
+        """Sequences by chain, of its FASTA file."""
+        found: dict[str, str] = {}
+        for text in self.files(r"sequences\.fasta$").values():
+            for part in text.decode().split(">")[1:]:
+                name, *lines = part.split("\n")
+                found[name.strip()] = "".join(lines).strip()
+        return found

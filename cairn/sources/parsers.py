@@ -168,3 +168,87 @@ def ligands(entry_rows: DataFrame) -> DataFrame:
     systems = entry_rows.select("entry.pdb_id", F.explode("entry.systems").alias("system_id", "s")).where("s.system_type = 'holo'")
     rows = systems.select("pdb_id", "system_id", F.explode("s.ligands").alias("l")).select("pdb_id", "system_id", "l.*")
     return rows.where("ligand_rdkit_canonical_smiles is not null and ligand_rdkit_canonical_smiles <> ''").dropDuplicates(["ligand_id"])
+
+
+def cells(texts: DataFrame, category: str, columns: tuple[str, ...], *, key: str = "file", text_col: str = "value") -> DataFrame:
+    """Rows of an mmCIF category, of a loop or of single items, as texts: the key and ``columns``; ``?`` and ``.`` are null.
+
+    Values are words or quoted; a loop's rows are cut by its number of columns. Each file is one row of the input.
+    """
+    word = r"'(?:[^']|'(?=\S))*'|\"(?:[^\"]|\"(?=\S))*\"|[^\s]+"
+    block = F.regexp_extract(text_col, rf"(?s)(?:^|\n)loop_\s*\n((?:\s*_{category}\.\S+\s*\n)+)(.*?)(?=\n#|\nloop_|\n_|\ndata_|\z)", 1)
+    body = F.regexp_extract(text_col, rf"(?s)(?:^|\n)loop_\s*\n((?:\s*_{category}\.\S+\s*\n)+)(.*?)(?=\n#|\nloop_|\n_|\ndata_|\z)", 2)
+    names = F.regexp_extract_all(block, F.lit(rf"_{category}\.(\S+)"), F.lit(1))
+    words = F.regexp_extract_all(body, F.lit(f"({word})"), F.lit(1))
+    loop = texts.select(F.col(key), names.alias("names"), words.alias("words")).where(F.size("names") > 0)
+    width = F.size("names")
+    rows = F.transform(F.sequence(F.lit(0), F.floor(F.size("words") / width).cast("int") - 1), lambda i: F.map_from_arrays("names", F.slice("words", i * width + 1, width)))
+    many = loop.where(F.size("words") >= width).select(key, F.explode(rows).alias("c"))
+    pair = rf"(?m)^_{category}\.(\S+)\s+({word})\s*$"
+    single = texts.select(F.col(key), F.regexp_extract_all(text_col, F.lit(pair), F.lit(1)).alias("k"), F.regexp_extract_all(text_col, F.lit(pair), F.lit(2)).alias("v"))
+    one = single.where(F.size("k") > 0).select(key, F.map_from_arrays("k", "v").alias("c"))
+
+    def value(name: str):
+        raw = F.regexp_replace(F.try_element_at("c", F.lit(name)), r"^(['\"])(.*)\1$", "$2")
+        return F.when(~raw.isin("?", "."), raw).alias(name)
+
+    return many.union(one).select(key, *[value(c) for c in columns])
+
+
+#: Where the facts of an entry are: column, category, item. Fixed names.
+ENTRY_INFO = (
+    ("entry_oligomeric_state", "pdbx_struct_assembly", "oligomeric_details"),
+    ("entry_determination_method", "exptl", "method"),
+    ("entry_keywords", "struct_keywords", "pdbx_keywords"),
+    ("entry_pH", "exptl_crystal_grow", "pH"),
+    ("entry_resolution", "refine", "ls_d_res_high"),
+)
+
+
+def entry_info(texts: DataFrame, *, key: str = "file") -> DataFrame:
+    """Facts of entries, the first value of each; a file without any has nulls."""
+    found = texts.select(key).distinct()
+    for name, category, item in ENTRY_INFO:
+        rows = cells(texts, category, (item,), key=key).where(F.col(item).isNotNull())
+        found = found.join(rows.groupBy(key).agg(F.first(item).alias(name)), key, "left")
+    return found.withColumn("entry_resolution", F.col("entry_resolution").try_cast("double"))
+
+
+def segments(texts: DataFrame, *, key: str = "file") -> DataFrame:
+    """Mappings of chains of entries: key, asym_id, db, accession, start, end; of molecules of the dictionary (BIRD) without a range."""
+    xref = cells(texts, "pdbx_sifts_xref_db_segments", ("asym_id", "xref_db", "xref_db_acc", "seq_id_start", "seq_id_end"), key=key)
+    found = xref.select(key, "asym_id", F.col("xref_db").alias("db"), F.col("xref_db_acc").alias("accession"), F.col("seq_id_start").alias("start"), F.col("seq_id_end").alias("end"))
+    unp = cells(texts, "pdbx_sifts_unp_segments", ("asym_id", "unp_acc", "seq_id_start", "seq_id_end"), key=key)
+    found = found.union(unp.select(key, "asym_id", F.lit("UniProt"), "unp_acc", "seq_id_start", "seq_id_end"))
+    bird = cells(texts, "pdbx_molecule", ("asym_id",), key=key)
+    found = found.union(bird.select(key, "asym_id", F.lit("BIRD"), "asym_id", F.lit(None).cast("string"), F.lit(None).cast("string")))
+    return found.where("asym_id is not null").withColumns({c: F.col(c).try_cast("int") for c in ("start", "end")}).distinct()
+
+
+def alignments(spark: SparkSession, path: str, *, structure: bool) -> DataFrame:
+    """Alignment rows of an external aligner's table: ids, coverage, identity, starts and aligned texts; of structures lddt and lddtfull."""
+    names = "query string, target string, qlen int, lddt double, qcov double, fident double, alnlen int, qstart int, qend int, tstart int, tend int, qaln string, taln string, lddtfull string"
+    shape = names if structure else names.replace("lddt double, ", "").replace(", lddtfull string", "")
+    return spark.read.option("sep", "\t").schema(shape).csv(path)
+
+
+def listed_entries(paths: DataFrame, *, codes: tuple[str, ...] = (), ids: tuple[str, ...] = (), short: bool = False) -> DataFrame:
+    """Entry ids of paths (one column) whose last part is ``pdb_0000xxxx``: column ``entry``, in full or as four characters, in order."""
+    name = F.regexp_extract(paths.columns[0], r"([^/]+)/?$", 1)
+    rows = paths.select(name.alias("entry")).where(F.col("entry").rlike("^(pdb_0000)?[0-9a-z]{4}$")).distinct()
+    four = F.right("entry", F.lit(4))
+    if ids:
+        rows = rows.where(four.isin([i[-4:] for i in ids]))
+    elif codes:
+        rows = rows.where(F.substring(four, 2, 2).isin(list(codes)))
+    return rows.select((four if short else F.col("entry")).alias("entry")).distinct().orderBy("entry")
+
+
+def archive_shards(paths: list[str], *, shards: list[str] | None = None) -> dict[str, str]:
+    """Archives by shard, of paths ``…/xx.zip``; other names are left out, and all but ``shards`` where they are given."""
+    found = {}
+    for path in sorted(paths):
+        name = path.rsplit("/", 1)[-1]
+        if name.endswith(".zip") and len(name) == 6 and (shards is None or name[:2] in shards):
+            found[name[:2]] = path
+    return found
