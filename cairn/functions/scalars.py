@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: An id, a colon, and a start and end that may be negative or carry an insertion letter.
@@ -169,6 +169,22 @@ def one_hot(value: Column, labels: Sequence[str], other: str) -> Column:
     return F.transform(F.sequence(F.lit(1), F.lit(len(labels))), lambda k: F.when(k == at, 1).otherwise(0))
 
 
+def map_rows(rows: DataFrame, function: Callable[[dict], list[dict]], shape: str) -> DataFrame:
+    """Rows of ``shape`` that a function makes of each row, as mappings; for kernels of libraries, in Arrow batches."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    empty = rows.sparkSession.createDataFrame([], shape)
+    schema = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in empty.schema])
+
+    def run(batches):
+        for batch in batches:
+            found = [made for row in batch.to_pylist() for made in function(row)]
+            yield pa.RecordBatch.from_pylist(found, schema=schema)
+
+    return rows.mapInArrow(run, empty.schema)
+
+
 def plugin(name: str) -> Callable:
     """A chemistry or structure kernel, by the library that has it; ImportError with a clear text where that is missing."""
     import importlib

@@ -556,17 +556,11 @@ def structure_checks(files: DataFrame, check, names: tuple[str, ...]) -> DataFra
     """
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema) + "".join(f", `{n}` boolean" for n in names)
 
-    def run(batches):
-        import pandas as pd
-
-        for batch in batches:
-            rows = []
-            for row in batch.to_dict("records"):
-                try:
-                    found = check(row)
-                except Exception:  # noqa: BLE001 - one bad file must not end the job; its checks are null
-                    found = {}
-                rows.append({**row, **{n: found.get(n) for n in names}})
-            yield pd.DataFrame(rows, columns=[*batch.columns, *names])
-
-    return files.mapInPandas(run, shape)
+    def one(row: dict) -> list[dict]:
+        try:
+            found = check(row)
+        except Exception:  # noqa: BLE001 - one bad file must not end the job; its checks are null
+            found = {}
+        return [{**row, **{n: found.get(n) for n in names}}]
+
+    return scalars.map_rows(files, one, shape)

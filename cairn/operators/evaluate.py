@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.functions.scalars import map_rows
 from cairn.operators.ordered import medians
 
 
@@ -153,22 +154,16 @@ def score_set(predictions: DataFrame, scorer, shape: str) -> DataFrame:
     A prediction whose scorer raises gives one row with the error in ``error`` and nulls elsewhere. ``predictions`` has
     id, reference_system_id, receptor_file, ligand_file and rank.
     """
-    names = [part.strip().split(" ")[0] for part in shape.split(",")]
-
-    def run(batches):
-        import pandas as pd
-
-        for batch in batches:
-            rows = []
-            for row in batch.astype(object).where(batch.notna(), None).to_dict("records"):
-                base = {"id": str(row["id"]), "reference_system_id": str(row["reference_system_id"]), "rank": row["rank"], "error": None}
-                try:
-                    rows += [{**base, **found} for found in scorer(row)]
-                except Exception as error:  # noqa: BLE001 - reported in the row
-                    rows.append({**base, "error": f"{type(error).__name__}: {error}"})
-            yield pd.DataFrame(rows, columns=["id", "reference_system_id", "rank", "error", *names])
-
-    return predictions.mapInPandas(run, f"id string, reference_system_id string, rank int, error string, {shape}")
+
+    def one(row: dict) -> list[dict]:
+        base = {"id": row["id"], "reference_system_id": row["reference_system_id"], "rank": row["rank"], "error": None}
+        try:
+            return [{**base, **found} for found in scorer(row)]
+        except Exception as error:  # noqa: BLE001 - reported in the row
+            return [{**base, "error": f"{type(error).__name__}: {error}"}]
+
+    rows = predictions.withColumns({"id": F.col("id").cast("string"), "reference_system_id": F.col("reference_system_id").cast("string")})
+    return map_rows(rows, one, f"id string, reference_system_id string, rank int, error string, {shape}")
 
 
 def write_results(best: DataFrame, subsets: dict[str, Column], path: str, *, key: str, top_n: int, rmsd: str = "rmsd", lddt: str = "lddt") -> DataFrame:

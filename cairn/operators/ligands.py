@@ -41,7 +41,7 @@ def synonyms(codes: DataFrame, *, dummies: tuple[str, ...] = ()) -> DataFrame:
     same = rows.groupBy("smiles").agg(F.collect_set("code").alias("codes")).where(F.size("codes") > 1)
     # As published: letters before digits at the first character, then by length, then in order.
     first = F.array_min(F.transform("codes", lambda c: F.struct(c.rlike("^[0-9]").alias("d"), (-F.length(c)).alias("n"), c.alias("c"))))["c"]
-    return same.select(F.explode("codes").alias("code"), first.alias("unique_code"))
+    return same.select("codes", first.alias("unique_code")).select(F.explode("codes").alias("code"), "unique_code")
 
 
 def with_synonyms(codes: DataFrame, same: DataFrame) -> DataFrame:

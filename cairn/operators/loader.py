@@ -77,7 +77,7 @@ def featurized(atoms: DataFrame, featurizer: Callable[[dict[str, Any]], dict[str
     """
     rest = [c for c in atoms.columns if c not in (by, order)]
     rows = F.array_sort(F.collect_list(F.struct(order, *rest)))
-    lists = atoms.groupBy(by).agg(rows.alias("rows")).select(by, *[F.transform("rows", lambda r, c=c: r[c]).alias(c) for c in rest])
+    lists = atoms.groupBy(by).agg(rows.alias("rows")).select(by, *[F.col("rows")[c].alias(c) for c in rest])
 
     def run(batches):
         import pandas as pd

@@ -135,7 +135,7 @@ def chain_mapping(pairs: DataFrame) -> DataFrame:
 def protein_scores(pairs: DataFrame, mapping: DataFrame, lengths: DataFrame) -> DataFrame:
     """Protein scores by system pair and source, long: query_system, target_system, source, metric, score, mapping.
 
-    ``_max`` and ``_weighted_max`` (the score of the pair with the largest score × length) are over all chain pairs,
+    ``_max`` and ``_weighted_max`` (the score of the pair with the largest score × length, then score) are over all chain pairs,
     ``_weighted_sum`` over the mapping, divided by the length of the query system (``lengths``: query_system, size).
     """
     keys = ["query_system", "target_system"]
@@ -146,7 +146,7 @@ def protein_scores(pairs: DataFrame, mapping: DataFrame, lengths: DataFrame) ->
     ).where("score is not null")
     by = [*keys, "source", "base"]
     weight = F.col("score") * F.col("length")
-    order = lambda c: F.struct((-c).alias("s"), F.col("pair").alias("p"))
+    order = lambda c: F.struct((-c).alias("w"), (-F.col("score")).alias("s"), F.col("pair").alias("p"))
     top = long.where("score > 0").groupBy(*by).agg(
         F.min_by(F.struct(F.lit("max").alias("how"), "score", F.col("pair").alias("mapping")), order(F.col("score"))).alias("m"),
         F.min_by(F.struct(F.lit("weighted_max").alias("how"), "score", F.col("pair").alias("mapping")), order(weight)).alias("w"),

@@ -184,7 +184,7 @@ def cells(texts: DataFrame, category: str, columns: tuple[str, ...], *, key: str
     width = F.size("names")
     rows = F.transform(F.sequence(F.lit(0), F.floor(F.size("words") / width).cast("int") - 1), lambda i: F.map_from_arrays("names", F.slice("words", i * width + 1, width)))
     many = loop.where(F.size("words") >= width).select(key, F.explode(rows).alias("c"))
-    pair = rf"(?m)^_{category}\.(\S+)\s+({word})\s*$"
+    pair = rf"(?m)^_{category}\.(\S+)[ \t]+({word})[ \t]*$"
     single = texts.select(F.col(key), F.regexp_extract_all(text_col, F.lit(pair), F.lit(1)).alias("k"), F.regexp_extract_all(text_col, F.lit(pair), F.lit(2)).alias("v"))
     one = single.where(F.size("k") > 0).select(key, F.map_from_arrays("k", "v").alias("c"))
 
