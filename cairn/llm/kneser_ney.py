@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +28,8 @@ from cairn.session import Workspace
 END = b"\n"
 #: Distinct words and pairs that a counting task holds; words that a task remembers.
 WORDS, PAIRS, REMEMBERED = 400_000, 4_000_000, 300_000
-#: Texts handled at a time.
-ROWS = 256
+#: Texts handled at a time, and bytes of them beyond which fewer are.
+ROWS, BYTES = 1024, 2_000_000
 #: Ids in one file of the arrays by id.
 PAGE = 1 << 20
 #: Characters of training text for each file of the arrays, so that a task that merges one holds a bounded part.
@@ -46,9 +47,14 @@ def _hash(found: list[bytes]) -> np.ndarray:
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
     for batch in batches:
-        for at in range(0, len(batch), ROWS):
-            part = batch.slice(at, ROWS)
+        until = np.cumsum(pc.fill_null(pc.binary_length(batch["raw"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(batch):
+            before = until[at - 1] if at else 0
+            n = min(ROWS, max(1, int(np.searchsorted(until, before + BYTES, "right")) - at))
+            part = batch.slice(at, n)
             yield part, [words(t) for t in part["raw"].to_pylist()]
+            at += n
 
 
 def _word_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
@@ -215,9 +221,10 @@ def _pages(uri: str, d: tuple, lower: tuple, total: int, size: int, totals: Coun
 def context_totals(vocabulary: Counted, ids: np.ndarray, first_total: int) -> np.ndarray:
     """How often each id is a context: as often as it is a token (ends have no continuation and never ask)."""
     out = np.full(len(ids), first_total, np.float64)
-    shard = np.searchsorted(vocabulary.starts, ids, side="right") - 1
-    for number in np.unique(shard[ids < len(vocabulary)]).tolist():
-        at = np.flatnonzero((shard == number) & (ids < len(vocabulary)))
+    by = np.argsort(ids, kind="stable")
+    edge = np.searchsorted(ids[by], vocabulary.starts)
+    for number in np.flatnonzero(np.diff(edge)).tolist():
+        at = by[edge[number] : edge[number + 1]]
         out[at] = vocabulary.shard(number)[1][ids[at] - vocabulary.starts[number]]
     return out
 
@@ -303,11 +310,13 @@ def _score(model: Model, kind: pa.DataType):
             count[both] = model.pairs.find(keys, _pair_shard(keys, len(model.pairs.sizes)))[1]
             lower = np.where(known, model.by_id("lower", token), model.unknown)
             p = np.where(seen, model.by_id("weight", before), 1.0) * lower
-            hit = np.flatnonzero(count)
-            less = count[hit] - np.choose(np.minimum(count[hit], 3).astype(int) - 1, [d1, d2, d3])
-            p[hit] += np.maximum(less, 0) / context_totals(model.vocabulary, before[hit], model.texts)
             counts = np.zeros(len(token))
             counts[known] = context_totals(model.vocabulary, token[known], model.texts)
+            # A context is the token before, or the start of a text, of which there are as many as texts.
+            as_context = _contexts(counts, starts, model.texts)
+            hit = np.flatnonzero(count)
+            less = count[hit] - np.choose(np.minimum(count[hit], 3).astype(int) - 1, [d1, d2, d3])
+            p[hit] += np.maximum(less, 0) / as_context[hit]
             base = np.log10((counts + 1) / (total + size + 1))
             n = np.diff(np.append(starts, len(token)))
             columns = [n, np.add.reduceat(known.astype(np.int64), starts), np.add.reduceat(base, starts), np.add.reduceat(np.log10(p), starts)]
