@@ -39,6 +39,8 @@ ENTRY = (
     "validation:struct<resolution:double, r:double, rfree:double, r_minus_rfree:double>, "
     f"chains:map<string,{CHAIN}>, systems:array<struct<biounit_id:string, ligands:array<{LIGAND}>>>>"
 )
+#: The same as JSON holds it: keys are texts.
+ENTRY_JSON = ENTRY.replace("map<int,", "map<string,")
 MOST_CHAINS = 5
 
 
@@ -65,6 +67,11 @@ class QualityCriteria:
     pocket_max_percent_outliers_clashes: float = 100
 
 
+def parsed(text: Column) -> Column:
+    """An entry document of its JSON text; what isn't one is null, and fields that it lacks are."""
+    return F.from_json(text, ENTRY_JSON).cast(ENTRY)
+
+
 def proper(ligand: Column) -> Column:
     """Neither ion nor artifact."""
     return ~F.coalesce(ligand["is_ion"], F.lit(False)) & ~F.coalesce(ligand["is_artifact"], F.lit(False))

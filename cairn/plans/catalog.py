@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cairn.functions import filters, scalars
-from cairn.operators import enrich, evaluate, graph, series, similarity, spatial, split
+from cairn.operators import annotate, enrich, evaluate, graph, ligands, series, similarity, spatial, split
 from cairn.sources import datasets
 from cairn.sources.sinks import union_all
 from cairn.sources.tables import table
@@ -661,3 +661,193 @@ def union_sources(spark, sf):
 def release_months(spark, sf):
     last = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("last"))
     return last.groupBy(F.date_trunc("month", "last").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# Annotation: an entry is a customer, a system an order, a ligand a line with its supplier as protein chain.
+
+
+def entries_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Entry documents, read from the JSON text that the tables are put into."""
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        F.struct(
+            F.lit(1).alias("instance"),
+            F.concat(F.lit("L"), F.col("l_partkey").cast("string")).alias("asym_id"),
+            F.col("l_partkey").cast("string").alias("ccd_code"),
+            F.col("l_quantity").cast("double").alias("molecular_weight"),
+            F.when(F.col("l_discount") < 0.095, F.col("l_linenumber").cast("int")).alias("num_heavy_atoms"),
+            (F.col("l_returnflag") == "R").alias("is_ion"),
+            (F.col("l_returnflag") == "A").alias("is_artifact"),
+            F.array(F.concat(F.lit("1.S"), F.col("l_suppkey").cast("string"))).alias("protein_chains"),
+        ).alias("ligand"),
+    )
+    systems = lines.groupBy("l_orderkey").agg(F.collect_list("ligand").alias("ligands"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey").join(systems, F.col("o_orderkey") == F.col("l_orderkey"))
+    of_entry = F.collect_list(F.struct(F.col("o_orderkey").cast("string").alias("biounit_id"), "ligands"))
+    documents = orders.groupBy("o_custkey").agg(of_entry.alias("systems"))
+    text = F.to_json(F.struct(F.col("o_custkey").cast("string").alias("pdb_id"), "systems"))
+    return documents.select(annotate.parsed(text).alias("entry"))
+
+
+@query("""select cast(l_orderkey as varchar) as system_biounit_id,
+           case when bool_or(l_returnflag = 'N') then 'holo' when bool_or(l_returnflag = 'R') then 'ion' else 'artifact' end as system_type,
+           count(distinct l_suppkey) as system_num_protein_chains, count(*) as system_num_ligand_chains,
+           count(*) filter (l_returnflag = 'N') as system_proper_num_ligand_chains,
+           case when count(*) = count(*) filter (l_discount < 0.095) then cast(sum(l_linenumber) as bigint) end as system_num_heavy_atoms,
+           coalesce(max(l_quantity) filter (l_returnflag = 'N'), -1.0) as system_proper_ligand_max_molecular_weight
+    from lineitem join orders on o_orderkey = l_orderkey group by l_orderkey""")
+def entry_systems(spark, sf):
+    found = annotate.systems(entries_of(spark, sf))
+    return found.select(
+        "system_biounit_id", "system_type", *[F.col(c).cast("long").alias(c) for c in ("system_num_protein_chains", "system_num_ligand_chains", "system_proper_num_ligand_chains")],
+        "system_num_heavy_atoms", "system_proper_ligand_max_molecular_weight",
+    )
+
+
+@query("""with s as (select o_custkey, l_orderkey from lineitem join orders on o_orderkey = l_orderkey group by all
+                   having bool_or(l_returnflag = 'N') and count(distinct l_suppkey) <= 5 and count(*) <= 5)
+    select cast(c.o_custkey as varchar) as entry, count(s.l_orderkey) as n_systems
+    from (select distinct o_custkey from orders join lineitem on o_orderkey = l_orderkey) c left join s using (o_custkey) group by c.o_custkey""")
+def entry_prune(spark, sf):
+    kept = annotate.pruned(entries_of(spark, sf))
+    return kept.select(F.col("entry.pdb_id").alias("entry"), F.size("entry.systems").cast("long").alias("n_systems"))
+
+
+@query("""select l_suppkey, count(*) as num_residues, count(*) filter (l_linestatus = 'F') as num_processed_residues,
+           round(avg(l_discount) filter (l_linestatus = 'F'), 9) as average_rsr,
+           round(100.0 * count(*) filter (l_linestatus = 'F' and l_discount <= 0.03) / count(*), 9) as percent_rsr_under_threshold,
+           round(100.0 * count(*) filter (l_linestatus = 'F' and l_returnflag = 'R') / count(*), 9) as percent_outliers_clashes,
+           cast(max(l_linenumber) filter (l_linestatus = 'F') as bigint) as max_alt_count
+    from lineitem group by 1 having count(*) filter (l_linestatus = 'F') > 0""")
+def residue_validation(spark, sf):
+    rows = table(spark, sf, "lineitem").select(
+        "l_suppkey",
+        (F.col("l_linestatus") == "F").alias("processed"),
+        F.col("l_discount").alias("rsr"),
+        *[F.lit(1.0).alias(c) for c in ("rsrz", "rscc", "average_occupancy", "average_b_factor")],
+        F.col("l_linenumber").alias("alt_count"),
+        *[F.lit(1).alias(c) for c in ("atom_count", "heavy_atom_count", "num_unresolved_heavy_atoms")],
+        F.lit(False).alias("unknown_residue"),
+        F.when(F.col("l_returnflag") == "R", F.array(F.lit("clashes"))).otherwise(F.array().cast("array<string>")).alias("outliers"),
+    )
+    found = annotate.residue_summary(rows, ["l_suppkey"], max_rsr=0.03)
+    return found.select(
+        "l_suppkey", "num_residues", "num_processed_residues", *[F.round(c, 9).alias(c) for c in ("average_rsr", "percent_rsr_under_threshold", "percent_outliers_clashes")],
+        F.col("max_alt_count").cast("long").alias("max_alt_count"),
+    )
+
+
+@query("""with p as (select o_orderkey, o_custkey as c, o_orderkey % 97 as a from orders),
+    d as (select s_suppkey as domain, s_suppkey % 7 as label, s_suppkey * 3 % 1000 as c0, s_suppkey * 3 % 1000 + 20 as c1, s_suppkey % 97 as a from supplier),
+    n as (select a, domain, label, count(distinct c) as n from p join d using (a) where c >= c0 and c < c1 group by all)
+    select a, domain, label, n from n qualify row_number() over (partition by a order by n desc, domain) = 1""")
+def pocket_domains(spark, sf):
+    chain = F.col("o_orderkey") % 97
+    pockets = table(spark, sf, "orders").select(chain.alias("system_id"), F.lit("e").alias("pdb_id"), chain.alias("asym_id"), F.col("o_custkey").alias("residue"))
+    s = F.col("s_suppkey")
+    ranges = table(spark, sf, "supplier").select(F.lit("e").alias("pdb_id"), (s % 97).alias("asym_id"), s.alias("domain"), (s % 7).alias("label"), (s * 3 % 1000).alias("start"), (s * 3 % 1000 + 20).alias("end"))
+    return annotate.pocket_domains(pockets, ranges, width=32).withColumnRenamed("system_id", "a")
+
+
+# Ligands: a part is a ligand, its type and size its structure.
+
+
+@query("""with c as (select cast(p_partkey as varchar) as code, p_type || p_size as smiles from part),
+    g as (select smiles, list(code) as codes from c group by 1 having count(*) > 1)
+    select unnest(codes) as code, (select arg_min(x, row(x ~ '^[0-9]', -length(x), x)) from (select unnest(g.codes) as x)) as unique_code from g""")
+def synonym_groups(spark, sf):
+    codes = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("code"), F.concat("p_type", F.col("p_size").cast("string")).alias("smiles"))
+    return ligands.synonyms(codes)
+
+
+@query("""with s as (select l_orderkey as q, l_partkey as t, max(cast(round(l_discount * 1000) as int)) as m from lineitem where l_linenumber = 1 group by all),
+    a as (select t as k, q as other, m from s where q % 3 = 0 and t % 2 = 1 union all select q, t, m from s where q % 2 = 1 and t % 3 = 0),
+    b as (select k, max(m) as m from a group by 1)
+    select system_id, max(m) as m from b join (select distinct p_brand as system_id, p_partkey as k from part) using (k) group by 1""")
+def ligand_similarity_max(spark, sf):
+    rows = table(spark, sf, "lineitem").where("l_linenumber = 1").groupBy(F.col("l_orderkey").alias("query_ligand_id"), F.col("l_partkey").alias("target_ligand_id"))
+    scores = rows.agg(F.max(F.round(F.col("l_discount") * 1000).cast("int")).alias("m"))
+    ids = scores.select(F.col("query_ligand_id").alias("id")).union(scores.select("target_ligand_id")).distinct()
+    systems = table(spark, sf, "part").select(F.col("p_brand").alias("system_id"), F.col("p_partkey").alias("number_id_by_inchikeys"))
+    return ligands.cross_similarity(scores, ids.where("id % 3 = 0"), ids.where("id % 2 = 1"), systems, metric="m")
+
+
+@query("""with p as (select l_partkey as a, l_suppkey as b, l_quantity as size1, l_quantity + 10 as size2, l_linenumber + 4 as c from lineitem where l_linenumber + 4 >= 5),
+    e as (select a as key, b as other, 100.0 * c / size1 as s from p union all select b, a, 100.0 * c / size2 from p),
+    m as (select key, other, max(s) as s from e group by all),
+    l as (select o_orderkey as system_id, o_custkey as k, case when o_orderkey % 5 = 0 then 'test' else 'train' end as split from orders),
+    known as (select distinct k as other from l where split = 'train'),
+    best as (select key, max(s) as s from m join known using (other) group by 1)
+    select distinct l.system_id, l.k as inchikey, round(case when l.k in (select other from known) then 100.0 else coalesce(best.s, 0.0) end, 9) as mmp_similarity_max
+    from l left join best on best.key = l.k where l.split = 'test'""")
+def mmp_similarity(spark, sf):
+    pairs = table(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("inchikey1"), F.col("l_suppkey").alias("inchikey2"), F.col("l_quantity").alias("size1"), (F.col("l_quantity") + 10).alias("size2"), (F.col("l_linenumber") + 4).alias("constant_size")
+    )
+    rows = table(spark, sf, "orders").select(F.col("o_orderkey").alias("system_id"), F.col("o_custkey").alias("inchikey"), F.when(F.col("o_orderkey") % 5 == 0, "test").otherwise("train").alias("split"))
+    found = ligands.max_pair_similarity(rows, ligands.pair_similarity(pairs))
+    return found.select("system_id", "inchikey", F.round("mmp_similarity_max", 9).alias("mmp_similarity_max"))
+
+
+# Links and reports.
+
+
+@query("""with s as (select lpad(cast(l_partkey as varchar), 6, '0') as q, lpad(cast(l_suppkey as varchar), 6, '0') || '_A' as t,
+                    cast(max(l_quantity) filter (l_returnflag = 'R') as int) as m, cast(max(l_quantity) filter (l_returnflag = 'N') as int) as n from lineitem group by all),
+    k as (select s.*, s_acctbal as sort_score from s join supplier on lpad(cast(s_suppkey as varchar), 6, '0') = split_part(t, '_', 1)
+          where m >= 20 and n >= 10 and left(q, 4) <> left(t, 4))
+    select q as reference_system_id, t as id, m, n, sort_score, row_number() over (partition by q order by sort_score, t) as rank from k qualify rank <= 5""")
+def link_selection(spark, sf):
+    pad = lambda c: F.lpad(F.col(c).cast("string"), 6, "0")
+    lines = table(spark, sf, "lineitem").where("l_returnflag in ('R', 'N')")
+    scores = lines.select(
+        pad("l_partkey").alias("query_system"), F.concat(pad("l_suppkey"), F.lit("_A")).alias("target_system"),
+        F.when(F.col("l_returnflag") == "R", "m").otherwise("n").alias("metric"), F.col("l_quantity").cast("int").alias("similarity"),
+    )
+    ranking = table(spark, sf, "supplier").select(pad("s_suppkey").alias("target_id"), F.col("s_acctbal").alias("sort_score"))
+    return similarity.select_links(scores, {"m": 20, "n": 10}, ranking).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query(f"""with {POSES}, b as (select * from poses qualify row_number() over (partition by user_id order by rmsd, rank) = 1),
+    r as (select user_id % 101 as sim, rmsd <= 2 as ok, rmsd, user_id % 17 as lddt from b), c as (select unnest(range(0, 11)) * 10.0 as cutoff),
+    t as (select count(*) as n, avg(cast(ok as int)) as ok, avg(rmsd) as rmsd, avg(lddt) as lddt from r),
+    g as (select cutoff, count(*) filter (sim >= 100 - cutoff) as k, sum(cast(ok as int)) filter (sim >= 100 - cutoff) as ok, sum(rmsd) filter (sim >= 100 - cutoff) as rmsd,
+                 sum(lddt) filter (sim >= 100 - cutoff) as lddt from r, c group by cutoff)
+    select cast(cutoff as double) as cutoff, analysis, round(mean, 9) as mean from (
+        select cutoff, unnest(['S', 'XS', 'delta_RMSD', 'delta_lDDT_PLI', 'CDF']) as analysis,
+               unnest([coalesce(g.ok, 0) / greatest(k, 1), coalesce(g.ok, 0) / greatest(k, 1) - t.ok, coalesce(g.rmsd, 0) / greatest(k, 1) - t.rmsd,
+                       t.lddt - coalesce(g.lddt, 0) / greatest(k, 1), cast(k as double) / n]) as mean from g, t)""")
+def performance_trends(spark, sf):
+    best = evaluate.best_pose(poses_of(spark, sf), key="user_id", rank="rank", rmsd="rmsd", top_n=5)
+    rows = best.select((F.col("user_id") % 101).cast("double").alias("sim"), (F.col("rmsd") <= 2).alias("success"), "rmsd", (F.col("user_id") % 17).cast("double").alias("lddt"))
+    found = evaluate.trends(rows, ["sim"]).where("analysis <> 'EF'")
+    return found.select("cutoff", "analysis", F.round("mean", 9).alias("mean"))
+
+
+@query("""select p_brand as split, count(distinct p_type) as n, 'p_type' as "column" from part group by 1
+    union all select p_brand, count(distinct p_size), 'p_size' from part group by 1""")
+def diversity_report(spark, sf):
+    return evaluate.diversity(table(spark, sf, "part"), ["p_type", "p_size"], by="p_brand").withColumnRenamed("p_brand", "split")
+
+
+@query("""with g as (select l_orderkey, any_value(o_orderpriority) as split, count(distinct l_suppkey) as p, count(distinct l_partkey) as x from lineitem join orders on o_orderkey = l_orderkey group by 1)
+    select split, count(*) filter (p = 1 and x = 1) as single_single, count(*) filter (p = 1 and x > 1) as single_multiple, count(*) filter (p > 1 and x = 1) as multiple_single,
+           count(*) filter (p > 1 and x > 1) as multiple_multiple, count(*) as total from g group by 1""")
+def composition_report(spark, sf):
+    lines = table(spark, sf, "lineitem").join(table(spark, sf, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+    systems = lines.groupBy("l_orderkey").agg(F.first("o_orderpriority").alias("split"), F.count_distinct("l_suppkey").alias("p"), F.count_distinct("l_partkey").alias("x"))
+    return evaluate.chain_composition(systems, proteins="p", ligands="x")
+
+
+@query("""select c_custkey as system, count(*) filter (o_orderstatus = 'F') > 0 as system_has_apo, count(*) filter (o_orderstatus = 'O') > 0 as system_has_pred,
+           count(*) filter (o_orderstatus in ('F', 'O')) > 0 as system_has_apo_or_pred
+    from customer left join orders on o_custkey = c_custkey group by 1""")
+def link_flags(spark, sf):
+    kind = F.when(F.col("o_orderstatus") == "F", "apo").when(F.col("o_orderstatus") == "O", "pred").otherwise("holo")
+    links = table(spark, sf, "orders").select(F.col("o_custkey").alias("reference_system_id"), kind.alias("kind"))
+    return split.with_links(table(spark, sf, "customer").select(F.col("c_custkey").alias("system")), links)
+
+
+@query("""select vec_id, round(list_sum(list_transform(embedding, lambda x: cast(x as double))), 6) as total, len(embedding) as n from embeddings""")
+def array_sum(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", F.round(scalars.strict_sum(F.col("embedding")), 6).alias("total"), F.size("embedding").cast("long").alias("n"))
