@@ -588,12 +588,12 @@ def sort_codes(spark, sf):
     return rows.select("p_brand", F.array_join(scalars.code_order(F.col("codes")), ",").alias("codes"))
 
 
-@query("""with r as (select s_suppkey as range_id, s_suppkey % 25 as label, s_suppkey * 17 % 3000 as a, s_suppkey * 17 % 3000 + 40 + s_suppkey % 60 as b from supplier)
+@query("""with r as (select s_suppkey as range_id, s_suppkey % 25 as label, s_suppkey * 150 - 100 as a, s_suppkey * 150 - 60 + s_suppkey % 60 as b from supplier)
     select label, count(*) as n_points, count(distinct o_orderkey) as n_systems
     from orders join r on o_orderkey >= a and o_orderkey < b group by 1""")
 def interval_overlap(spark, sf):
     s = F.col("s_suppkey")
-    ranges = table(spark, sf, "supplier").select(s.alias("range_id"), (s % 25).alias("label"), (s * 17 % 3000).alias("a"), (s * 17 % 3000 + 40 + s % 60).alias("b"))
+    ranges = table(spark, sf, "supplier").select(s.alias("range_id"), (s % 25).alias("label"), (s * 150 - 100).alias("a"), (s * 150 - 60 + s % 60).alias("b"))
     held = spatial.interval_join(table(spark, sf, "orders").select("o_orderkey"), ranges, at="o_orderkey", start="a", end="b", width=64)
     return held.groupBy("label").agg(F.count(F.lit(1)).alias("n_points"), F.count_distinct("o_orderkey").alias("n_systems"))
 
