@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from cairn.session import Workspace
 #: The end token; it holds white space, so no word equals it.
 END = b"\n"
 #: Distinct words and pairs that a counting task holds; words that a task remembers.
-WORDS, PAIRS, REMEMBERED = 400_000, 4_000_000, 300_000
+WORDS, PAIRS, REMEMBERED = 400_000, 4_000_000, 500_000
 #: Texts handled at a time, and bytes of them beyond which fewer are.
 ROWS, BYTES = 1024, 2_000_000
 #: Ids in one file of the arrays by id.
@@ -72,8 +73,7 @@ def _count_words(shards: int):
             return runs(keys, counts, _word_shard(keys, shards))
 
         for part, texts in _texts(batches):
-            for found in texts:
-                seen.update(found)
+            seen.update(chain.from_iterable(texts))
             seen[END] += len(part)
             if len(seen) > WORDS:
                 yield from flush()
@@ -92,10 +92,13 @@ class Ids:
 
     def of(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all tokens with each text's end, and where each text starts."""
-        flat = [w for found in texts for w in (*found, END)]
+        flat: list[bytes] = []
+        for found in texts:
+            flat += found
+            flat.append(END)
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = [w for w in dict.fromkeys(flat) if w not in self.known]
+        new = list(set(flat).difference(self.known))
         if new:
             hashes = _hash(new)
             place, _ = self.vocabulary.find(hashes, _word_shard(hashes, len(self.vocabulary.sizes)))
