@@ -209,6 +209,30 @@ def test_overlap(spark):
     assert found == {("q", "t"): (67, 100), ("t", "q"): (50, 100)}
 
 
+@pytest.mark.parametrize("least", [51, 70, 100])
+def test_close_edges_equal_all_edges(spark, least):
+    draw = random.Random(least)
+    rows = [(k, draw.randrange(12)) for k in range(150) for _ in range(draw.choice([1, 1, 2, 2, 3, 4, 5, 8]))]
+    rows += [(k, draw.randrange(60)) for k in (200, 201, 202) for _ in range(45)] + [(k, i % 20) for k in (203, 204) for i in range(40)]
+    rows += [(k, i) for k in (205, 206, 207) for i in (1, 1, 1, 2)] + [(208, None), (None, 3), (None, 4)]
+    items = spark.createDataFrame(rows, "k long, i long")
+    every = similarity.multiset_overlap_edges(items, key="k", item="i").where(F.col("pli_qcov") >= least).collect()
+    found = similarity.multiset_overlap_edges(items, key="k", item="i", min_score=least).collect()
+    assert every and sorted(map(tuple, found)) == sorted(map(tuple, every))
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    from cairn.session import Workspace
+
+    def kept():
+        tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+        return tracker.shuffleStatuses().size()
+
+    before = kept()
+    saved = Workspace(spark, "test").save(spark.range(1000).groupBy(F.col("id") % 7).count(), "counts")
+    assert kept() <= before and saved.count() == 7
+
+
 def test_orientation(spark):
     edges = spark.createDataFrame([("a", "b", 40), ("b", "a", 60), ("a", "x", 90)], "query string, target string, s int")
     one = lambda v: spark.createDataFrame([(v,)], "id string")
