@@ -233,6 +233,18 @@ def test_written_tables_leave_no_shuffle_files(spark):
     assert kept() <= before and saved.count() == 7
 
 
+def test_means_are_added_up_in_order(spark):
+    rows = [("a", k, x) for k, x in enumerate([1e16, 1.0, -1e16, 1.0])] + [("b", 0, None), ("b", 1, 3.0), ("c", 0, None)]
+    table = spark.createDataFrame(rows, "k string, at int, x double").repartition(4, "at")
+    assert as_map(similarity.means_in_order(table, ["x"], keys=["k"], order=["at"]), "k", "x") == {"a": 0.25, "b": 3.0, "c": None}
+
+
+def test_truncated_percent_rounds_binary_fractions(spark):
+    rows = spark.createDataFrame([(c, n) for n in range(1, 201) for c in range(n + 1)], "c int, n int")
+    for r in rows.select("c", "n", scalars.truncated_percent(F.col("c") / F.col("n")).alias("s")).collect():
+        assert r.s == int(float(np.rint(r.c / r.n * 100)) / 100 * 100), (r.c, r.n)
+
+
 def test_orientation(spark):
     edges = spark.createDataFrame([("a", "b", 40), ("b", "a", 60), ("a", "x", 90)], "query string, target string, s int")
     one = lambda v: spark.createDataFrame([(v,)], "id string")
