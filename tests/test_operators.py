@@ -8,6 +8,7 @@ from cairn import schemas
 from cairn.functions import scalars
 from cairn.operators import enrich, evaluate, graph, series, similarity, spatial, split, structure
 from cairn.plans import stages
+from cairn.session import Workspace
 
 
 def pairs(spark, rows, names="src string, dst string"):
@@ -131,6 +132,32 @@ def test_communities_equal_brute_force(spark):
     assert graph.modularity(pairs(spark, [], "src long, dst long"), labels).first().modularity is None
 
 
+def test_communities_of_several_components(spark, monkeypatch):
+    """Small components are moved in one task, large ones by joins until they are contracted; the result is the same."""
+    rng = random.Random(5)
+    edges = {("v98", "v99")}
+    for start, n, share in ((0, 36, 0.14), (40, 20, 0.2), (70, 9, 0.5)):
+        edges |= {(f"v{a:02d}", f"v{b:02d}") for a in range(start, start + n) for b in range(start, a) if rng.random() < share or a == b + 1}
+    edges = sorted(edges)
+    ids = spark.createDataFrame([(v,) for v in sorted({v for e in edges for v in e})], "id string")
+    side = {r.id: r.t for r in ids.select("id", F.pmod(F.xxhash64("id"), F.lit(2)).alias("t")).collect()}
+    want = best_moves(edges, side.get, levels=3)
+    df, saved, save = pairs(spark, edges, "src string, dst string"), [], Workspace.save
+    monkeypatch.setattr(Workspace, "save", lambda self, df, tag: saved.append(tag) or save(self, df, tag))
+    assert as_map(graph.communities(df, levels=3), "node", "community") == want
+    assert len(saved) < 9  # it was one by round
+    for held in (0, 40):
+        assert as_map(graph.communities(df, levels=3, held=held), "node", "community") == want
+
+
+def test_communities_of_weights_and_loops(spark):
+    rows = [(1, 2, 2.0), (2, 1, 3.0), (2, 3, 0.5), (3, 4, 4.0), (5, 5, 1.0), (6, None, 9.0), (7, 8, 0.0)]
+    df = pairs(spark, rows, "src int, dst int, w double")
+    found = as_map(graph.communities(df, weight="w"), "node", "community")
+    assert found == as_map(graph.communities(df, weight="w", held=0), "node", "community") == {1: 1, 2: 1, 3: 3, 4: 3, 5: 5}
+    assert as_map(graph.communities(df, weight="w", levels=0), "node", "community") == {k: k for k in range(1, 6)}
+
+
 def test_label_propagation_settles(spark):
     clique = [(a, b) for a in range(5) for b in range(a)] + [(a + 10, b + 10) for a in range(5) for b in range(a)] + [(0, 10)]
     found = as_map(graph.label_propagation(pairs(spark, clique, "src long, dst long")), "node", "community")
