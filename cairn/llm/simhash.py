@@ -37,8 +37,8 @@ from cairn.operators.graph import connected_components
 from cairn.session import Workspace
 
 SEED = 42
-#: Node pairs walked at a time, and bytes of whole subtries gathered for one walk.
-FRONTIER, CHUNK = 150_000, 1 << 23
+#: Node pairs walked at a time, and bytes of whole subtries gathered for one walk; a worker holds some twenty times the latter.
+FRONTIER, CHUNK = 50_000, 1 << 21
 #: Values that a subtrie should hold at most: beyond it more blocks must agree, so that paths are longer.
 SUBTRIE = 50_000
 #: Signature pairs compared at a time; pairs of two groups of equal values beyond which these are searched by breadth.

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -266,3 +267,28 @@ def test_checked_walk_equals_brute_force(monkeypatch):
         assert len(a) == len(want) and labels(a, b) == labels(*(v[k] for k in np.nonzero(link)))
     own = np.ones(n, bool)
     assert set(_meeting(path, rest, v, 12, 2, own).tolist()) == set(np.flatnonzero(near.sum(axis=1) > 1).tolist())
+
+
+def test_a_walk_of_candidates_holds_little_and_marks_the_same_in_pieces(monkeypatch):
+    rng = np.random.default_rng(5)
+    n, bands = 60_000, Bands(32, 2, 1, 16, 1)
+    x = rng.integers(0, 2**63, n, dtype=np.uint64)
+    x[: n // 4] = x[rng.integers(0, n, n // 4)] ^ (np.uint64(1) << rng.integers(0, 63, n // 4).astype(np.uint64))
+    sig = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32)), pa.array(x.view(np.int64)))
+    rows = pa.Table.from_batches(simhash._subtries(bands)([pa.RecordBatch.from_arrays([pa.array(np.arange(n)), sig], names=["v", "sig"])]))
+    rows = rows.sort_by("path").combine_chunks()
+
+    def marked() -> set[tuple[int, int]]:
+        found = pa.Table.from_batches(simhash._candidates(bands)(rows.to_batches(10_000)))
+        return set(zip(found["path"].to_pylist(), found["v"].to_pylist()))
+
+    tracemalloc.start()
+    for _ in simhash._candidates(bands)(rows.to_batches(10_000)):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    in_pieces = marked()
+    monkeypatch.setattr(simhash, "CHUNK", 1 << 40)
+    monkeypatch.setattr(simhash, "FRONTIER", 1 << 40)
+    assert in_pieces and in_pieces == marked()
+    assert peak < 50 << 20
