@@ -461,3 +461,19 @@ def test_communities_of_large_components_by_arrays(spark, monkeypatch):
         assert as_map(graph.communities(df, levels=4, held=5), "node", "community") == want
         assert "labels" not in saved and "blocks" in saved  # labels were joined and written once a round
         monkeypatch.setattr(Workspace, "save", save)
+
+
+def test_tanimoto_by_chunks(spark, monkeypatch):
+    """Chunks of fingerprints are compared without a row by pair or bit; all of them count, with ties by target."""
+    rng = random.Random(9)
+    rows = [(f"k{v:02d}", rng.sample(range(0, 4000, 250), rng.randint(0, 6))) for v in range(60)] + [("none", None), (None, [0])]
+    df = spark.createDataFrame(rows, "key string, bits array<int>")
+    monkeypatch.setattr(similarity.fingerprints_, "TARGETS", 7)
+    monkeypatch.setattr(similarity.fingerprints_, "QUERIES", 4)
+    found = similarity.tanimoto_top_k(df, df.where("key < 'k20'"), k=3)
+    assert "Generate" not in found._jdf.queryExecution().optimizedPlan().toString()  # it made a row by bit
+    want, sets = set(), {k: set(b) for k, b in rows if k and b}
+    for a in (k for k in sets if k < "k20"):
+        near = [(-int(round(len(sets[a] & x) / len(sets[a] | x) * 100) / 100 * 100), b) for b, x in sets.items() if b != a and sets[a] & x]
+        want |= {(a, b, -s, n) for n, (s, b) in enumerate(sorted(near)[:3], 1)}
+    assert {(r["query"], r["target"], r["similarity"], r["rank"]) for r in found.collect()} == want
